@@ -14,7 +14,6 @@ Null text counts as empty and gives no ids. Ids travel as little-endian unsigned
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -27,8 +26,6 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import cells, in_batches
 
-#: A single space between two characters that aren't white space always begins a new pre-token.
-_SEAM = re.compile(r"(?<=\S) (?=\S)")
 _LONGEST_KEPT = 64
 
 
@@ -132,7 +129,7 @@ class _Kept(dict):
 class ByteBpe:
     """Encoder and decoder for a file of base64 tokens and ranks."""
 
-    def __init__(self, path: str, pattern: str, remembered: int = 500_000):
+    def __init__(self, path: str, pattern: str, remembered: int = 600_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
@@ -140,17 +137,12 @@ class ByteBpe:
             self.tokens[rank] = token
         self._find = regex.compile(pattern).findall
         self._pieces = _Kept(self._piece, remembered)
-        self._spaced = _Kept(lambda chunk: self._chunk(" " + chunk), remembered // 2)
 
     def _piece(self, piece: str) -> bytes:
         return array("I", merge(piece.encode("utf-8", "replace"), self.ranks)).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._pieces.__getitem__, self._find(chunk)))
-
     def encode(self, text: str) -> bytes:
-        first, *rest = _SEAM.split(text)
-        return self._chunk(first) + b"".join(map(self._spaced.__getitem__, rest))
+        return b"".join(map(self._pieces.__getitem__, self._find(text)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
