@@ -21,10 +21,10 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import cells, in_batches
+from tidemark.llm.common import cells, in_batches, map_arrow
+from tidemark.llm.pretokens import finder
 
 _LONGEST_KEPT = 64
 
@@ -135,7 +135,7 @@ class ByteBpe:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self._find = regex.compile(pattern).findall
+        self._find = finder(pattern)
         self._pieces = _Kept(self._piece, remembered)
 
     def _piece(self, piece: str) -> bytes:
@@ -174,6 +174,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     path: a rank file that every executor can open (it comes with an installed package). Rows are independent, so
     nothing is shuffled and a lost task is simply run again.
     """
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").transform(
+        map_arrow,
         partial(_encoded, path=path, pattern=pattern), "doc_id bigint, ids binary, decoded binary"
     )

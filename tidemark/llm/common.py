@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+from weakref import WeakSet
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,27 @@ def shared_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidemark"
 
 
+_SENT: WeakSet[SparkContext] = WeakSet()
+
+
+def _send_code(context: SparkContext) -> None:
+    """Hand this package to the Python workers, which needn't have it on their path."""
+    if context in _SENT:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / "tidemark_code.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SENT.add(context)
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    _send_code(df.sparkSession.sparkContext)
+    return df.mapInArrow(function, schema)
+
+
 class Scratch:
     """Tables in the shared folder that cut lineage.
 
