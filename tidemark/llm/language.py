@@ -6,7 +6,7 @@ length. Each language has several centroids, found by spherical k-means; a text
 with the largest cosine, which is its score.
 
 Rejection: for each size class of texts (the power of two of their n-grams) the smallest cosines seen in training
-give a threshold; a text below half of it is far from every centroid and rejected.
+give a threshold; a text below half of them is far from every centroid and rejected.
 
 Document frequencies and language counts cover all training rows. Centroids are fitted on a sample of about
 `sample_rows` training rows (chosen by a hash of doc_id, an equal share for each language), the one bound here.
@@ -137,14 +137,15 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return found
 
 
-def _thresholds(model: Centroids, counts: np.ndarray) -> np.ndarray:
+def _thresholds(model: Centroids, counts: np.ndarray, enough: int = 20) -> np.ndarray:
+    """Half the smallest cosines of each size class; a class without enough rows takes that of the next smaller one,
+    and below the smallest the threshold falls with the square root of the size, as cosines of short texts do."""
     classes, cosines = _size_class(counts), model.nearest(counts)[1]
-    out, last = np.zeros(64), 0.0
-    for size in range(64):
-        own = cosines[classes == size]
-        last = 0.5 * float(np.quantile(own, 0.01)) if len(own) >= 20 else last
-        out[size] = last
-    return out
+    known = {size: 0.5 * float(np.quantile(cosines[classes == size], 0.01)) for size in range(64) if (classes == size).sum() >= enough}
+    if not known:
+        return np.zeros(64)
+    first = min(known)
+    return np.array([known[max(k for k in known if k <= size)] if size >= first else known[first] * 2 ** ((size - first) / 2) for size in range(64)])
 
 
 def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Centroids | None:

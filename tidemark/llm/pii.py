@@ -45,7 +45,7 @@ AGAINST = "version|ver\\.|v\\.|isbn|issn|order|invoice|build|release|section|cha
 _LOCAL = "A-Za-z0-9._%+-"
 _LABEL = "A-Za-z0-9-"
 #: Patterns use runs of one character class, which the regex engine walks without recursion however long they are.
-_EMAIL = f"(?:(?<![{_LOCAL}{MARK}])|\\G)[{_LOCAL}{MARK}]++@(?=[{_LABEL}]++{MARK})[{_LABEL}{MARK}]++"
+_EMAIL = f"(?:(?<![{MARK}{_LOCAL}])|\\G)[{MARK}{_LOCAL}]++@(?=[{_LABEL}]++{MARK})[{MARK}{_LABEL}]++"
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"(?<![0-9])[0-9][0-9\x20-]++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"

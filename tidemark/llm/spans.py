@@ -42,6 +42,7 @@ def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]]) -> DataFrame
     add({f"{t}_p": F.split(F.regexp_replace(marks[n][0], marks[n][1], f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]") for n, t in tmp.items()})
     has = {t: F.size(f"{t}_p") > 1 for t in tmp.values()}
     add({f"{t}_n": F.when(has[t], F.transform(f"{t}_p", lambda piece: F.length(piece))) for t in tmp.values()})
+
     def block_sum(t: str):
         return lambda b: _sum(F.slice(f"{t}_n", b * _BLOCK + 1, _BLOCK))
 
