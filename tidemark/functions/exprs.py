@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 # Texts that mean NULL in CASE builders.
 NULL_TOKENS = ("NONE", "NULL", "NA", "N/A", "NAN")
 
-# Marks that become plain letters, one to one, and two that become two letters.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõøúùûüýÿñçšžāēīō"
-UNACCENTED = "aaaaaaeeeeiiiioooooouuuuyyncszaeio"
+# Letters with marks and the plain letters they become, and two letters that become two.
+ACCENTED = "áéíóúñãõçàèìòùâêîôûëïüäöøåāēīōūẽĩũ"
+UNACCENTED = "aeiounaocaeiouaeioueiuaooaaeioueiu"
 LIGATURES = {"æ": "ae", "œ": "oe"}
-# Characters that become an underscore, for each normaliser.
-PUNCTUATION = r"""[\s.,;:!?¡¿'"`´(){}\[\]<>/\\|@#$%^&*+=~°·-]"""
-WIDE_PUNCTUATION = r"""[\s.,;:!?¡¿'"`´(){}\[\]<>/\\|@#$%^&*+=~°·€£¥¢§çžæšª-]"""
+# Characters that become an underscore, in the full and in the plain normaliser.
+PUNCTUATION = r"[\[\]()* :.;<?/,'_&-]"
+PLAIN_PUNCTUATION = r"[ \t\n\r\x0b\x0c\u00a0\u00ad\x1a\u0090()\[\]{},:.;¿?¡!´`'‘/\\<>=+°³$¥çžæ^§&#%•š·‰©ª-]"
 
 
 def as_column(value: str | Column) -> Column:
@@ -70,7 +70,7 @@ def year_only(year: str | Column) -> Column:
 
 
 def _underscored(text: Column, punctuation: str) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, punctuation, "_"), "_+", "_"), "^_|_$", "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, punctuation, "_"), "_+", "_"), "^_+|_+$", "")
 
 
 def normalized_text(text: str | Column) -> Column:
@@ -83,7 +83,7 @@ def normalized_text(text: str | Column) -> Column:
 
 def plain_text(text: str | Column) -> Column:
     """Punctuation and some letters as single underscores, none at the ends; case and accents stay."""
-    return _underscored(as_column(text), WIDE_PUNCTUATION)
+    return _underscored(as_column(text), PLAIN_PUNCTUATION)
 
 
 def is_null_token(text: str) -> bool:
