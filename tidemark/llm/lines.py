@@ -117,7 +117,8 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = 50) -> DataFram
     numbers = F.explode(F.sequence(F.col("i"), (F.col("i") + F.col("n") - 1).cast("int")))
     removed = scratch.keep(copies.select(*_DOC, numbers.alias("i")).groupBy(*_DOC).agg(F.collect_set("i").alias("__tm_gone")))
     scratch.drop(lines)
-    out = _document_key(docs).join(removed, _DOC, "left").withColumn("__tm_lines", F.split("text", "\n"))
+    # The texts meet their removed lines by sorting at every size, so the plan doesn't depend on an estimate.
+    out = _document_key(docs).join(removed.hint("merge"), _DOC, "left").withColumn("__tm_lines", F.split("text", "\n"))
     out = out.withColumn("__tm_left", F.when(F.col("__tm_gone").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("__tm_lines") - 1), "__tm_gone")))
     rest = F.array_join(F.transform("__tm_left", lambda k: F.get("__tm_lines", k)), "\n")
     out = out.withColumns({"text": F.when(F.col("__tm_left").isNotNull(), rest).otherwise(F.col("text"))})
