@@ -321,7 +321,8 @@ def _verified(scratch: Scratch, docs: DataFrame, nodes: DataFrame, clusters: Dat
     blocks = F.ceil(F.greatest(F.count("*") / CLUSTER_BLOCK, F.sum("size") / CLUSTER_SHINGLES)).cast("int")
     sized = needed.join(needed.groupBy("cluster").agg(blocks.alias("blocks")), "cluster")
     places = sized.select("cluster", "node", "blocks", "copies", F.col("doc.doc_id").alias("d"), F.col("doc.h").alias("dh"))
-    texts = docs.join(places, docs["doc_id"].eqNullSafe(places["d"]) & (docs["h"] == places["dh"])).select("cluster", "node", "blocks", "copies", "text")
+    # The texts meet their places by sorting at every size, so the plan doesn't depend on an estimate.
+    texts = docs.join(places.hint("merge"), docs["doc_id"].eqNullSafe(places["d"]) & (docs["h"] == places["dh"])).select("cluster", "node", "blocks", "copies", "text")
     sets = scratch.keep(texts.transform(map_arrow, _reshingle, "cluster binary, node binary, blocks int, copies bigint, shingles binary").dropDuplicates(["node"]))
     paired = _block_pairs(sets, "blocks").select("cluster", "i", "j", "x", "node", "copies", "shingles").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     found = scratch.keep(paired.transform(map_arrow, partial(_verify, threshold_tenths=threshold_tenths), "node binary, least binary, links bigint"))
