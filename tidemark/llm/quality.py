@@ -19,6 +19,9 @@ nothing is shuffled, repeated rows get equal results, other columns are left alo
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +31,9 @@ WINDOW = 8
 
 # Phrases that mark a line.
 NAVIGATION = "home|menu|next page|previous page|back to top|skip to|read more|click here|log ?in|sign ?(?:in|up)|share this|site ?map"
-BOILERPLATE = "all rights reserved|cookie|privacy policy|terms of (?:use|service)|copyright|licensed under|javascript|lorem ipsum|powered by|subscribe to"
+BOILERPLATE = (
+    "all rights reserved", "cookie", "privacy policy", "terms of use", "terms of service", "copyright", "licensed under", "javascript", "lorem ipsum", "powered by", "subscribe to", "©",
+)
 
 
 def _visible(text: Column) -> Column:
@@ -40,14 +45,21 @@ def _count(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("long")
 
 
-def line_fails(line: Column) -> Column:
-    visible = _visible(line)
-    words = F.size(F.split(F.btrim(line, F.lit(_BLANKS)), r"[\x20\x09-\x0D]+"))
-    lowered = F.lower(line)
-    punctuation = (10 * _count(line, SYMBOLS) > visible) | (2 * F.length(F.regexp_replace(line, r"[^\p{L}]+", "")) < visible)
-    navigation = (words <= 12) & ((_count(line, "|>»›") >= 2) | F.regexp_like(lowered, F.lit(rf"^[ \t]*(?:{NAVIGATION})(?:[^a-z]|$)")))
-    boilerplate = F.regexp_like(lowered, F.lit(f"{BOILERPLATE}|©"))
-    return punctuation | navigation | boilerplate
+def _line(line: Column) -> Column:
+    """A line with what the rules look at more than once: lambdas compute a repeated expression each time."""
+    return F.struct(line.alias("line"), F.lower(line).alias("lowered"), _visible(line).alias("visible"))
+
+
+def line_fails(row: Column) -> Column:
+    """Whether a line as made by _line() breaks a rule; one without words doesn't."""
+    line, lowered, visible = row["line"], row["lowered"], row["visible"]
+    letters = F.length(line) - F.length(F.regexp_replace(line, r"\p{L}+", ""))
+    punctuation = (10 * _count(line, SYMBOLS) > visible) | (2 * letters < visible)
+    # Words are counted last, for the few lines that look like a menu.
+    menu = F.regexp_like(line, F.lit("[|>»›][^|>»›]*[|>»›]")) | F.regexp_like(lowered, F.lit(rf"^[ \t]*(?:{NAVIGATION})(?:[^a-z]|$)"))
+    navigation = menu & (F.size(F.split(F.btrim(line, F.lit(_BLANKS)), r"[\x20\x09-\x0D]+")) <= 12)
+    boilerplate = reduce(or_, (F.contains(lowered, F.lit(phrase)) for phrase in BOILERPLATE))
+    return (visible > 0) & (punctuation | navigation | boilerplate)
 
 
 def _covered_words(at: Column) -> Column:
@@ -95,9 +107,10 @@ def measure(docs: DataFrame, most_lost: float = 0.5) -> DataFrame:
             F.when(F.col("repeats"), _covered_words(F.col("at"))).otherwise(none).alias("n_repeat_words"),
         )
         .select("*", ((F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))).alias("base_failed"))
-        .select("*", F.filter("lines", lambda line: (F.btrim(line, F.lit(_BLANKS)) == "") | ~line_fails(line)).alias("good"))
-        .select("*", F.concat_ws("\n", "good").alias("clean_text"))
-        .select("*", (F.col("word_chars") - _visible(F.col("clean_text"))).alias("lost_chars"))
+        .select("*", F.transform("lines", _line).alias("rows"))
+        .select("*", F.transform(F.filter("rows", lambda row: ~line_fails(row)), lambda row: row["line"]).alias("good"))
+        .select("*", F.when(F.size("good") == F.size("lines"), F.col("text")).otherwise(F.concat_ws("\n", "good")).alias("clean_text"))
+        .select("*", F.when(F.size("good") == F.size("lines"), none).otherwise(F.col("word_chars") - _visible(F.col("clean_text"))).alias("lost_chars"))
     )
     kept = ~F.col("base_failed") & (F.col("lost_chars") <= most_lost * F.col("word_chars"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_chars", kept.alias("kept"), "clean_text")
@@ -118,7 +131,7 @@ l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
 f AS (SELECT r, line, {visible("line")} AS vis, {symbols("line")} AS sym, length(regexp_replace(line, '[^\\p{{L}}]+', '', 'g')) AS letters,
   len(regexp_split_to_array(trim(line, {blanks}), '[\\x20\\x09-\\x0D]+')) AS words, length(regexp_replace(line, '[^|>»›]+', '', 'g')) AS seps, lower(line) AS low FROM l),
 g AS (SELECT r, line, vis, 10 * sym > vis OR 2 * letters < vis OR (words <= 12 AND (seps >= 2 OR regexp_matches(low, '^[ \\t]*(?:{NAVIGATION})(?:[^a-z]|$)')))
-  OR regexp_matches(low, '{BOILERPLATE}|©') AS bad FROM f WHERE vis > 0),
+  OR regexp_matches(low, '{'|'.join(BOILERPLATE)}') AS bad FROM f WHERE vis > 0),
 a AS (SELECT r, (count(*) - count(DISTINCT line))::bigint AS dup, sum(CASE WHEN bad THEN vis ELSE 0 END)::bigint AS lost FROM g GROUP BY r),
 j AS (SELECT d.doc_id, len(w.words)::bigint AS n_words, {visible("d.text")}::bigint AS word_chars, {symbols("d.text")}::bigint AS n_symbols,
   coalesce(a.dup, 0)::bigint AS n_dup_lines, coalesce(cov.n, 0)::bigint AS n_repeat_words, coalesce(a.lost, 0)::bigint AS lost_chars
