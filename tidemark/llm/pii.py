@@ -1,8 +1,8 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Base kinds (email, ip, card, phone) are found by their patterns and checks, and always reported. Further
-candidates (local phone numbers, account numbers, social security numbers, names after a title) are reported only
-if a classifier accepts them. Every candidate gets the votes (yes, no, abstain) of four labelers:
+candidates (local phone numbers and card numbers that run into other digits, account numbers, social security
+numbers, names after a title) are reported only if a classifier accepts them. Every candidate gets the votes (yes, no, abstain) of four labelers:
 
 - strict: a narrower pattern of its kind;
 - gazetteer: a known top-level domain, country code, issuer digit, country or title;
@@ -31,7 +31,7 @@ from tidemark.llm.common import Scratch
 from tidemark.llm.spans import MARK, plain, with_spans
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("local_phone", "account", "ssn", "name")
+MORE_KINDS = ("local_phone", "local_card", "account", "ssn", "name")
 KINDS = BASE_KINDS + MORE_KINDS
 VOTES = ("strict", "gazetteer", "context", "neighbours")
 
@@ -50,6 +50,7 @@ _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"(?<![0-9])[0-9][0-9\x20-]++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _LOCAL_PHONE = r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
+_LOCAL_CARD = r"(?<![0-9])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"
 _ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _NAME = rf"(?<![\p{{L}}0-9])(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
@@ -81,6 +82,7 @@ _VALID = {
     "ip": lambda m: F.regexp_like(m, F.lit(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}")),
     "card": lambda m: F.when(F.length(_digits(m)).between(16, 19), _luhn(_digits(m))).otherwise(F.lit(False)),
     "phone": lambda m: F.length(_digits(m)).between(8, 15),
+    "local_card": lambda m: _luhn(_digits(m)),
 }
 _STRICT = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$",
@@ -88,6 +90,7 @@ _STRICT = {
     "card": r"^(?:[0-9]{16,19}|(?:[0-9]{4}[ -]){3}[0-9]{4})$",
     "phone": r"^\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}$",
     "local_phone": r"^(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}-)[2-9][0-9]{2}-[0-9]{4}$",
+    "local_card": r"^(?:[0-9]{16}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4})$",
     "account": r"^[A-Z]{2}[0-9]{2} ?[0-9A-Z ]{11,36}$",
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
     "name": r"^\p{Lu}[\p{L}]*\.? \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$",
@@ -98,6 +101,7 @@ _KNOWN = {
     "card": r"^[3-6]",
     "phone": rf"^\+(?:{COUNTRY_CODES})",
     "local_phone": r"^\(?[2-9]",
+    "local_card": r"^[3-6]",
     "account": r"^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)",
     "ssn": r"^[0-8]",
     "name": rf"^(?:{TITLES})\.? ",
@@ -145,6 +149,7 @@ def with_candidates(df: DataFrame, text: str, out: str) -> DataFrame:
         "card": (chain, _CARD),
         "phone": (number, _PHONE),
         "local_phone": (number, _LOCAL_PHONE),
+        "local_card": (number, _LOCAL_CARD),
         "account": (number, _ACCOUNT),
         "ssn": (number, _SSN),
         "name": (F.col("__tm_t"), _NAME),
@@ -152,7 +157,7 @@ def with_candidates(df: DataFrame, text: str, out: str) -> DataFrame:
     names = {kind: f"__tm_{kind}_found" for kind in KINDS}
     df = with_spans(df, {names[kind]: patterns[kind] for kind in KINDS})
     df = df.withColumn(names["email"], F.transform(names["email"], lambda s: s.withField("match", F.translate(s["match"], MARK, "."))))
-    df = df.withColumns({names[kind]: F.filter(names[kind], _valid(kind)) for kind in BASE_KINDS})
+    df = df.withColumns({names[kind]: F.filter(names[kind], _valid(kind)) for kind in _VALID})
     df = df.withColumn("__tm_base", F.concat(*(F.transform(names[kind], _candidates(kind, True)) for kind in BASE_KINDS)))
     free = lambda s: ~F.exists("__tm_base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     more = [F.transform(F.filter(names[kind], free), _candidates(kind, False)) for kind in MORE_KINDS]
