@@ -140,6 +140,8 @@ def test_point_in_time_forms_agree(spark, seed):
         before = [(q.u, q.x) for q in right.collect() if r.k is not None and q.k == r.k and q.u <= r.t]
         want.append((r.row, r.k, r.t, max(before)[1] if before else None))
     assert rows(one) == sorted(want, key=str)
+    for bucket in ("day", "month"):
+        assert rows(joins.point_in_time_join(left, right, ["k"], "t", ["x"], right_time="u", bucket=bucket)) == sorted(want, key=str)
     collapsed = joins.point_in_time_join(left, right, ["k"], "t", ["x"], right_time="u", collapse=True)
     assert collapsed.count() == left.select("k", "t").distinct().count()
 

@@ -38,7 +38,7 @@ def exclude_ids(left: DataFrame, excluded: DataFrame, columns: Sequence[str] | N
 
 
 def point_in_time_join(
-    left: DataFrame, right: DataFrame, left_keys: Sequence[str], left_time: str, values: Sequence[str], right_keys: Sequence[str] | None = None, right_time: str | None = None, prefix: str = "", tiebreak: Sequence[str] = (), collapse: bool = False
+    left: DataFrame, right: DataFrame, left_keys: Sequence[str], left_time: str, values: Sequence[str], right_keys: Sequence[str] | None = None, right_time: str | None = None, prefix: str = "", tiebreak: Sequence[str] = (), collapse: bool = False, bucket: str | None = None
 ) -> DataFrame:
     """Each left row with the values of the newest right row of its keys that isn't later; null values without one.
 
@@ -46,6 +46,10 @@ def point_in_time_join(
     sort, linear in the rows, however many right rows a key has. At equal times the right row counts; among right
     rows of the same time the largest by tiebreak, then by values. Left rows with a null key match nothing. With
     collapse, left rows that share keys and time become one.
+
+    A key with a large share of all rows would be one task's work. With bucket ('day', 'month', 'year') a key's
+    sequence is cut there: each piece is carried on by itself, and begins with the last right row of the pieces before
+    it, which come from one aggregated row for each key and bucket.
     """
     left_keys, right_keys = as_list(left_keys), as_list(right_keys) or as_list(left_keys)
     right_time = right_time or left_time
@@ -62,8 +66,16 @@ def point_in_time_join(
         *(F.col(k).alias(n) for k, n in zip(right_keys, names)), F.col(right_time).alias("__t"), F.lit(0).alias("__side"), payload.alias("__value"), F.struct(*tiebreak, *values).alias("__tie")
     )
     both = ours.unionByName(theirs, allowMissingColumns=True)
-    carried = F.last("__value", ignorenulls=True).over(Window.partitionBy(*names).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0))
+    pieces = [*names, "__b"] if bucket else names
+    if bucket:
+        both = both.withColumn("__b", F.date_trunc(bucket, F.col("__t").cast("timestamp")))
+    carried = F.last("__value", ignorenulls=True).over(Window.partitionBy(*pieces).orderBy("__t", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0))
     found = both.withColumn("__value", carried).where("__side = 1")
+    if bucket:
+        newest = both.groupBy(*pieces).agg(F.max(F.when(F.col("__side") == 0, F.struct("__t", "__tie", "__value")))["__value"].alias("__last"))
+        before = Window.partitionBy(*names).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        begins = newest.select(*pieces, F.last("__last", ignorenulls=True).over(before).alias("__begin"))
+        found = found.join(begins, pieces, "left").withColumn("__value", F.coalesce("__value", "__begin"))
     known = F.lit(True)
     for name in names:
         known = known & F.col(name).isNotNull()

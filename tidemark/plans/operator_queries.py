@@ -253,6 +253,13 @@ def j02_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.point_in_time_join(left, _shipments(spark, sf_dir), ["o_custkey"], "o_orderdate", values, right_time="day")
 
 
+@query(_ASOF)
+def j02_point_in_time_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
+    values = ["l_orderkey", "l_linenumber", "l_quantity"]
+    return joins.point_in_time_join(left, _shipments(spark, sf_dir), ["o_custkey"], "o_orderdate", values, right_time="day", bucket="year")
+
+
 @query(_ASOF)
 def j02_point_in_time_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
