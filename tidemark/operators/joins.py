@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import relative_difference
+from tidemark.functions.exprs import ratio, relative_difference
 from tidemark.operators import as_list, require
 
 
@@ -110,15 +110,11 @@ def union_frames(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def ratios(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """{a}_to_{b}_ratio: a / b rounded to 4 digits, null where b is zero."""
-    from tidemark.functions.exprs import ratio
-
     return df.withColumns({f"{a}_to_{b}_ratio": ratio(a, b) for a, b in pairs})
 
 
 def percentages(df: DataFrame, pairs: Sequence[tuple[str, str]], names: Mapping[tuple[str, str], str] | None = None) -> DataFrame:
     """{a}_pct: a / b * 100 rounded to 4 digits, null where b is zero; two pairs may not share a name."""
-    from tidemark.functions.exprs import ratio
-
     wanted = [((names or {}).get((a, b), f"{a}_pct"), ratio(a, b, scale=100)) for a, b in pairs]
     if len({n for n, _ in wanted}) < len(wanted):
         raise ValueError("percentages would share a name; give names")
