@@ -164,7 +164,7 @@ def brute_chat(rows):
 
 
 def test_chat_rows(spark):
-    rows = [(1, 0, "user", None), (1, 1, "assistant", "🎉"), (2, None, None, "x"), (None, 3, "assistant", ""), (1, 1, "assistant", "🎉"), (3, 0, "system", "\x00\u2028")]
+    rows = [(1, 0, "user", None), (1, 1, "assistant", "🎉"), (2, None, None, "x"), (None, 3, "assistant", ""), (1, 1, "assistant", "🎉"), (3, 0, "system", "\x00\u2028"), (4, 0, "user\nassistant", "x"), (5, 0, "human", "a"), (5, 1, "gpt", "b")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").selectExpr("*", "'x' key", "'x' record")
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(chat.format_records(chat.rows_to_records(df))).collect()}
     assert got == brute_chat(rows)

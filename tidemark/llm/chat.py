@@ -10,7 +10,8 @@ writes a turn as
 and puts a backslash before each backslash, `#` and `<` of roles and texts, and each `:` of roles, so no text can hold a control string,
 and reading back is exact. The loss mask holds the character spans of the assistant texts in the output.
 
-Null roles and texts count as empty. A record without turns gives an empty text and an empty mask.
+Null roles and texts count as empty. A record without turns gives an empty text and an empty mask. One conversation is
+one row of output, so its turns meet in one row; conversations are independent of each other.
 """
 
 from __future__ import annotations
@@ -47,21 +48,25 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-#: Layouts: the field paths, and either a list of turns with its role and text field, or fields with their roles.
+#: Other names of the canonical roles, in layouts that use them.
+OTHER_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+
+#: Layouts: the field paths, and either a list of turns with its role and text field and names that roles have there, or
+#: fields with their roles.
 LAYOUTS: list[tuple[set[str], dict]] = [
     ({"messages[].role", "messages[].content"}, {"turns": "messages", "role": "role", "text": "content"}),
     ({"messages[]"}, {"turns": "messages", "role": "role", "text": "content"}),
-    ({"conversations[].from", "conversations[].value"}, {"turns": "conversations", "role": "from", "text": "value"}),
-    ({"turns[].speaker.name", "turns[].text"}, {"turns": "turns", "role": "speaker.name", "text": "text"}),
+    ({"dialog[].role", "dialog[].text"}, {"turns": "dialog", "role": "role", "text": "text"}),
+    ({"conversations[].from", "conversations[].value"}, {"turns": "conversations", "role": "from", "text": "value", "names": OTHER_NAMES}),
+    ({"turns[].speaker.name", "turns[].text"}, {"turns": "turns", "role": "speaker.name", "text": "text", "names": OTHER_NAMES}),
     ({"prompt", "response"}, {"fields": [("user", ["prompt"]), ("assistant", ["response"])]}),
     ({"prompt", "completion"}, {"fields": [("user", ["prompt"]), ("assistant", ["completion"])]}),
+    ({"system", "prompt", "response"}, {"fields": [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["response"])]}),
     ({"instruction", "output"}, {"fields": [("user", ["instruction"]), ("assistant", ["output"])]}),
     ({"instruction", "input", "output"}, {"fields": [("user", ["instruction", "input"]), ("assistant", ["output"])]}),
     ({"system", "instruction", "output"}, {"fields": [("system", ["system"]), ("user", ["instruction"]), ("assistant", ["output"])]}),
     ({"question", "answer"}, {"fields": [("user", ["question"]), ("assistant", ["answer"])]}),
 ]
-#: Other names of the canonical roles.
-ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
 def mappings(layouts: list[tuple[set[str], dict]] | None = None) -> dict[str, dict]:
@@ -80,10 +85,10 @@ def _text(value) -> str:
 
 def canonical_turns(record, mapping: dict) -> list[tuple[str, str]]:
     if "turns" in mapping:
+        names = mapping.get("names", {})
         found = [(_text(_at(turn, mapping["role"])), _text(_at(turn, mapping["text"]))) for turn in record.get(mapping["turns"]) or []]
-    else:
-        found = [(role, "\n".join(text for name in names if (text := _text(record.get(name))))) for role, names in mapping["fields"]]
-    return [(ROLE_NAMES.get(role, role), text) for role, text in found]
+        return [(names.get(role, role), text) for role, text in found]
+    return [(role, "\n".join(text for name in fields if (text := _text(record.get(name))))) for role, fields in mapping["fields"]]
 
 
 def escape(text: str) -> str:
@@ -151,11 +156,23 @@ def format_records(records: DataFrame, layouts: list[tuple[set[str], dict]] | No
 
 
 def rows_to_records(turns: DataFrame) -> DataFrame:
-    """key and record for conversations stored a turn a row (conv_id, turn, role, text), in order of turn, role and text."""
-    picked = turns.selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "coalesce(role, '') role", "coalesce(text, '') text")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", F.col("role"), F.col("text").alias("content"))))
-    messages = F.transform(ordered, lambda turn: F.struct(turn["role"].alias("role"), turn["content"].alias("content")))
-    return picked.groupBy(F.col("conv_id").alias("key")).agg(F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    """key and record for conversations stored a turn a row (conv_id, turn, role, text), in order of turn, role and text.
+
+    The layout follows from the roles, as in corpora put together from several sources: question and answer as prompt and
+    response, with a system turn before them or not, and any other conversation as a list of messages or a dialog.
+    """
+    picked = turns.selectExpr("cast(conv_id as bigint) key", "cast(turn as bigint) turn", "coalesce(role, '') role", "coalesce(text, '') text")
+    grouped = picked.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    are = lambda *roles: F.col("t.role") == F.array(*(F.lit(role) for role in roles))
+    text = lambda k: F.col("t")[k]["text"]
+    listed = lambda role, content: F.transform("t", lambda turn: F.struct(turn["role"].alias(role), turn["text"].alias(content)))
+    record = (
+        F.when(are("user", "assistant"), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"))))
+        .when(are("system", "user", "assistant"), F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
+        .when(F.col("key") % 2 == 0, F.to_json(F.struct(listed("role", "content").alias("messages"))))
+        .otherwise(F.to_json(F.struct(listed("role", "text").alias("dialog"))))
+    )
+    return grouped.select("key", record.alias("record"))
 
 
 _BACK = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
@@ -179,3 +196,16 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Counts and digests of turns and loss text, from formatted text and mask alone; unknown layouts are left out."""
     return formatted.where("known").select("key", "formatted", "mask").transform(map_arrow, _digest, _BACK)
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for the registered query."""
+    return r"""
+WITH c AS (SELECT conv_id::bigint AS conv_id, turn::bigint AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+t AS (SELECT *, length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + 14 AS chars FROM c)
+SELECT conv_id, count(*)::bigint AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::bigint AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, sum(chars)::bigint AS formatted_chars
+FROM t GROUP BY conv_id
+"""
