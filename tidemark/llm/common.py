@@ -11,8 +11,7 @@ from weakref import WeakSet
 
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of cells that a worker gathers before it hands a batch back to the JVM.
 BATCH_BYTES = 8 << 20
@@ -117,5 +116,10 @@ def cells(batch: pa.RecordBatch, *names: str, step: int = 256) -> Iterator[tuple
         yield from zip(*(column.to_pylist() for column in part.columns))
 
 
-def utf8_length(column: Column) -> Column:
-    return F.octet_length(F.coalesce(column, F.lit(""))).cast("long")
+def apart(grouped: DataFrame) -> DataFrame:
+    """A grouped table dealt anew, for a join with rows of the groups it was made from.
+
+    Joined as it is, it would fix where those rows have to be, so a hot group would stay in one task; dealt anew, both
+    sides of the join are plain shuffles, which Spark splits where a partition is skewed.
+    """
+    return grouped.hint("rebalance")

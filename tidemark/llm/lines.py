@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, apart
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _FIRST = -(1 << 63)
@@ -102,7 +102,7 @@ def later_copies(scratch: Scratch, ranks: list[DataFrame], min_words: int) -> Da
     classed = scratch.keep(wanted.join(begins, [*_DOC, "k", "i"]).join(ends, [*_DOC, "k", "j"]).select(*_DOC, "i", "n", "a", "b"))
     place = F.struct(*_DOC, "i")
     heads = classed.groupBy("n", "a", "b").agg(F.min(place).alias("head"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    return classed.join(heads, ["n", "a", "b"]).where(place != F.col("head")).select(*_DOC, "i", "n")
+    return classed.join(apart(heads), ["n", "a", "b"]).where(place != F.col("head")).select(*_DOC, "i", "n")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, min_words: int = 50) -> DataFrame:
