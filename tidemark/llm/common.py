@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -83,7 +84,8 @@ class Scratch:
         return out
 
     def drop(self, *frames: DataFrame) -> None:
-        """Remove tables that no later plan reads."""
+        """Remove tables that no later plan reads, and let go of plans that Python holds in cycles, and so their shuffles."""
+        gc.collect()
         for df in frames:
             if path := self._paths.pop(id(df), None):
                 fs, hadoop = self._fs(path)

@@ -82,8 +82,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _size_class(counts: np.ndarray) -> np.ndarray:
-    return np.log2(np.maximum(counts.sum(axis=1), 1)).astype(np.int64)
+def _size_class(totals: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(totals, 1)).astype(np.int64)
 
 
 def held_out() -> Column:
@@ -109,15 +109,18 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return in_batches(iter(rows), _STATS_ARROW)
 
 
-_SAMPLE_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("counts", pa.binary())])
+_SAMPLE_ARROW = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("total", pa.int64()), ("features", pa.binary()), ("weights", pa.binary())])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features that a text has, with the logarithm of their counts."""
+
     def rows():
         for batch in batches:
             for doc_id, text, lang in cells(batch, "doc_id", "text", "lang"):
                 if (counts := gram_counts(text)) is not None:
-                    yield doc_id, lang, counts.astype("<i4").tobytes()
+                    features = np.flatnonzero(counts)
+                    yield doc_id, lang, int(counts.sum()), features.astype("<u2").tobytes(), np.log1p(counts[features]).astype("<f4").tobytes()
 
     return in_batches(rows(), _SAMPLE_ARROW)
 
@@ -129,19 +132,19 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         centres.append(rows[(rows @ np.array(centres).T).max(axis=1).argmin()])
     found = np.array(centres)
     for _ in range(rounds):
-        nearest = (rows @ found.T).argmax(axis=1)
-        moved = np.array([rows[nearest == c].mean(axis=0) if (nearest == c).any() else found[c] for c in range(len(found))])
-        if np.allclose(moved := _unit(moved), found):
+        member = np.zeros((len(found), len(rows)), np.float32)
+        member[(rows @ found.T).argmax(axis=1), np.arange(len(rows))] = 1
+        moved = _unit(np.where(member.any(axis=1, keepdims=True), member @ rows, found))
+        if np.allclose(moved, found):
             break
         found = moved
     return found
 
 
-def _thresholds(model: Centroids, counts: np.ndarray, enough: int = 20) -> np.ndarray:
+def _thresholds(sizes: np.ndarray, cosines: np.ndarray, enough: int = 20) -> np.ndarray:
     """Half the smallest cosines of each size class; a class without enough rows takes that of the next smaller one,
     and below the smallest the threshold falls with the square root of the size, as cosines of short texts do."""
-    classes, cosines = _size_class(counts), model.nearest(counts)[1]
-    known = {size: 0.5 * float(np.quantile(cosines[classes == size], 0.01)) for size in range(64) if (classes == size).sum() >= enough}
+    known = {size: 0.5 * float(np.quantile(cosines[sizes == size], 0.01)) for size in range(64) if (sizes == size).sum() >= enough}
     if not known:
         return np.zeros(64)
     first = min(known)
@@ -149,7 +152,11 @@ def _thresholds(model: Centroids, counts: np.ndarray, enough: int = 20) -> np.nd
 
 
 def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Centroids | None:
-    """Centroids from training_rows(docs); None without training rows."""
+    """Centroids from training_rows(docs); None without training rows.
+
+    The driver holds the sample's vectors once, sample_rows * DIMS * 4 bytes, a row of statistics for each feature, and
+    one for each language.
+    """
     training = training_rows(docs)
     stats = training.select("text", "lang").transform(map_arrow, _statistics, "lang string, feature int, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect()
     rows_of = {row.lang: row.n for row in stats if row.feature < 0}
@@ -164,20 +171,26 @@ def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Cent
     share = sample_rows / len(rows_of)
     chance = F.create_map(*(F.lit(x) for lang, n in sorted(rows_of.items()) for x in (lang, min(1.0, share / n))))
     draw = F.xxhash64("doc_id").bitwiseAND((1 << 52) - 1) / float(1 << 52)
-    sample = training.where(draw < F.element_at(chance, F.col("lang"))).transform(map_arrow, _sampled, "doc_id bigint, lang string, counts binary").collect()
-    sample.sort(key=lambda row: (row.lang, row.doc_id, row.counts))
+    drawn = training.where(draw < F.element_at(chance, F.col("lang")))
+    sample = drawn.transform(map_arrow, _sampled, "doc_id bigint, lang string, total bigint, features binary, weights binary").collect()
+    sample.sort(key=lambda row: (row.lang, row.doc_id, row.total, row.features, row.weights))
     if not sample:
         return None
-    counts = np.array([np.frombuffer(row.counts, "<i4") for row in sample])
+    vectors = np.zeros((len(sample), DIMS), np.float32)
+    for vector, row in zip(vectors, sample):
+        features = np.frombuffer(row.features, "<u2")
+        weighted = np.frombuffer(row.weights, "<f4") * idf[features]
+        vector[features] = weighted / np.linalg.norm(weighted)
     langs = np.array([row.lang for row in sample])
-    vectors = _unit(np.log1p(counts).astype(np.float32) * idf)
+    sizes = _size_class(np.array([row.total for row in sample]))
     names, centroids = [], []
     for lang in sorted(set(langs.tolist())):
-        found = _cluster(vectors[langs == lang], per_language)
+        first, stop = np.searchsorted(langs, lang), np.searchsorted(langs, lang, "right")
+        found = _cluster(vectors[first:stop], per_language)
         names += [lang] * len(found)
         centroids.append(found)
-    model = Centroids(names, np.concatenate(centroids).astype(np.float32), idf, np.zeros(64))
-    return Centroids(names, model.matrix, idf, _thresholds(model, counts))
+    matrix = np.concatenate(centroids).astype(np.float32)
+    return Centroids(names, matrix, idf, _thresholds(sizes, (vectors @ matrix.T).max(axis=1)))
 
 
 def _scored(texts: list[str | None], model: Centroids | None) -> list[tuple[str, float, bool]]:
@@ -188,7 +201,7 @@ def _scored(texts: list[str | None], model: Centroids | None) -> list[tuple[str,
     found = [(i, counts) for i, text in enumerate(texts) if text and (counts := gram_counts(text)) is not None]
     if found:
         counts = np.array([c for _, c in found])
-        limits = model.thresholds[_size_class(counts)]
+        limits = model.thresholds[_size_class(counts.sum(axis=1))]
         for (i, _), best, cosine, limit in zip(found, *(x.tolist() for x in model.nearest(counts)), limits.tolist()):
             out[i] = (model.languages[best], cosine, cosine <= 0 or cosine < limit)
     return out
