@@ -64,7 +64,7 @@ class WordTokenizer:
     #: Letters whose lower case is longer or depends on their neighbours.
     _ODD = "\u0130\u03a3"
 
-    def __init__(self, path: str, remembered: int = 1_000_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
