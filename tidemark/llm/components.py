@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, apart
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,7 +20,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         around = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = around.join(least, "u")
+    joined = around.join(apart(least), "u")
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, cells, in_batches, map_arrow
+from tidemark.llm.common import Scratch, apart, cells, in_batches, map_arrow
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -50,7 +50,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
         if len(word) <= 32:
-            if len(self) >= 500_000:
+            if len(self) >= 100_000:
                 self.clear()
             self[word] = value
         return value
@@ -282,23 +282,23 @@ def candidate_edges(scratch: Scratch, nodes: DataFrame, threshold: float, limits
     keys = F.array(*(F.xxhash64(F.lit(b), F.substring("sig", 4 * BAND * b + 1, 4 * BAND)) for b in range(HASHES // BAND)))
     bands = nodes.select("node", "size", F.explode(keys).alias("bucket"))
     buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
-    members = scratch.keep(bands.join(buckets, "bucket"))
+    members = scratch.keep(bands.join(apart(buckets), "bucket"))
     stars = members.where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
     first = scratch.keep(_pruned(stars, nodes, limits))
     grouped = components(scratch, first)
 
-    apart = _labelled(members.where("n > 2"), grouped, "label").where("label is not null")
-    mixed = apart.groupBy("bucket").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("bucket", "m")
-    apart = scratch.keep(apart.join(mixed, "bucket").select("bucket", "m", "node", "label", "size"))
-    small = apart.where(F.col("m") <= SMALL_BUCKET)
+    mixed_rows = _labelled(members.where("n > 2"), grouped, "label")
+    mixed = mixed_rows.groupBy("bucket").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("bucket", "m")
+    unlike = scratch.keep(mixed_rows.join(apart(mixed), "bucket").select("bucket", "m", "node", "label", "size"))
+    small = unlike.where(F.col("m") <= SMALL_BUCKET)
     left, right = (small.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "size"))) for x in "uv")
     near = (F.col("node_u") < F.col("node_v")) & (F.col("label_u") != F.col("label_v")) & (F.least("size_u", "size_v") >= threshold * F.greatest("size_u", "size_v"))
     pairs = left.join(right, "bucket").where(near).select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
-    large = apart.where(F.col("m") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("m") / BUCKET_BLOCK).cast("int")).join(nodes.select("node", "sig"), "node")
+    large = unlike.where(F.col("m") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("m") / BUCKET_BLOCK).cast("int")).join(nodes.select("node", "sig"), "node")
     blocks = _block_pairs(large, "blocks").select("bucket", "i", "j", "x", "node", "label", "size", "sig").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     found = blocks.transform(map_arrow, partial(_prune_blocks, limits=limits, threshold=threshold), "u binary, v binary")
     out = scratch.keep(first.select("u", "v").union(_pruned(pairs, nodes, limits)).union(found))
-    scratch.drop(members, apart, first, grouped)
+    scratch.drop(members, unlike, first, grouped)
     return out
 
 
@@ -319,7 +319,7 @@ def _verified(scratch: Scratch, docs: DataFrame, nodes: DataFrame, clusters: Dat
     clustered = clusters.union(clusters.select(F.col("v").alias("u"), "v")).distinct().select(F.col("u").alias("node"), F.col("v").alias("cluster"))
     needed = scratch.keep(clustered.join(nodes.select("node", "copies", "doc", "size"), "node"))
     blocks = F.ceil(F.greatest(F.count("*") / CLUSTER_BLOCK, F.sum("size") / CLUSTER_SHINGLES)).cast("int")
-    sized = needed.join(needed.groupBy("cluster").agg(blocks.alias("blocks")), "cluster")
+    sized = needed.join(apart(needed.groupBy("cluster").agg(blocks.alias("blocks"))), "cluster")
     places = sized.select("cluster", "node", "blocks", "copies", F.col("doc.doc_id").alias("d"), F.col("doc.h").alias("dh"))
     # The texts meet their places by sorting at every size, so the plan doesn't depend on an estimate.
     texts = docs.join(places.hint("merge"), docs["doc_id"].eqNullSafe(places["d"]) & (docs["h"] == places["dh"])).select("cluster", "node", "blocks", "copies", "text")
@@ -345,7 +345,7 @@ def _linked(spark: SparkSession, docs: DataFrame, threshold_tenths: int, toleran
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     whole = _labelled(nodes.select("node", "copies", "doc"), classes, "class").join(links, "node", "left")
     names = whole.groupBy("class").agg(F.min("doc").alias("first"))
-    result = scratch.keep(whole.join(names, "class").select("node", "class", F.col("first.doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    result = scratch.keep(whole.join(apart(names), "class").select("node", "class", F.col("first.doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = scratch.keep(signed.select("doc_id", "h", "node").distinct().join(result, "node", "left"))
     scratch.drop(signed, nodes, edges, clusters, verified, classes, result)
     alone = F.col("node").isNull()
@@ -368,3 +368,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, threshold_tenths: int = 8, to
     kept = kept.select(F.coalesce("doc.doc_id", F.lit(-(1 << 63))).alias("__tm_d"), F.col("doc.h").alias("__tm_h"))
     keyed = docs.withColumns({"__tm_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__tm_h": F.xxhash64("text")})
     return keyed.join(kept, ["__tm_d", "__tm_h"], "left_semi").dropDuplicates(["__tm_d", "__tm_h"]).select(*docs.columns)
+
+
+def oracle_sql(threshold_tenths: int = 8) -> str:
+    """DuckDB SQL for the registered query, by comparing all pairs that share a shingle; for tables with unique doc_ids."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id::bigint AS doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + {SHINGLE - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 10 * c >= {threshold_tenths} * (nx.n + ny.n - c)),
+r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x, min(y) AS y FROM r GROUP BY 1), l AS (SELECT x, count(*) AS n FROM e GROUP BY 1)
+SELECT d.doc_id, coalesce(least(d.doc_id, c.y), d.doc_id) AS class_id, coalesce(l.n, 0)::bigint AS n_links FROM d LEFT JOIN c ON c.x = d.doc_id LEFT JOIN l ON l.x = d.doc_id
+"""

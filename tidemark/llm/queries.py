@@ -53,6 +53,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_records(chat.rows_to_records(turns.unionByName(planted))))
 
 
+ORACLE_SQL["op10_chat_format"] = chat.oracle_sql()
+
+
 @_register
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -105,3 +108,6 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op7_jaccard_join"] = jaccard.oracle_sql()
