@@ -1,0 +1,22 @@
+"""Operators on training text do the whole job: against brute force on small tables."""
+
+import numpy as np
+
+from tidemark.llm import language
+from tidemark.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_language_thresholds_cover_all_training_rows(spark):
+    docs = table(spark, SF, "documents")
+    model = language.fit(docs, sample_rows=64)
+    cosines = {}
+    for row in language.training_rows(docs).collect():
+        if (counts := language.gram_counts(row.text)) is not None:
+            cosines.setdefault(int(np.log2(counts.sum())), []).append(float(model.nearest(counts[None])[1][0]))
+    enough = [size for size, found in cosines.items() if len(found) >= 20]
+    assert len(enough) >= 4
+    for size in enough:
+        exact = 0.5 * float(np.quantile(cosines[size], 0.01, method="lower"))
+        assert exact - 1 / 4096 < model.thresholds[size] <= exact + 1e-6

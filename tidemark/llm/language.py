@@ -8,8 +8,9 @@ with the largest cosine, which is its score.
 Rejection: for each size class of texts (the power of two of their n-grams) the smallest cosines seen in training
 give a threshold; a text below half of them is far from every centroid and rejected.
 
-Document frequencies and language counts cover all training rows. Centroids are fitted on a sample of about
-`sample_rows` training rows (chosen by a hash of doc_id, an equal share for each language), the one bound here.
+Document frequencies, language counts and thresholds cover all training rows; the thresholds come from counts of rows
+by size class and cosine, in steps of 1 / 4096. Centroids are fitted on a sample of about `sample_rows` training rows
+(chosen by a hash of doc_id, an equal share for each language), the one bound here.
 
 Defined cases: null text, or one without a letter, is `und` with score 0 and rejected. Without training rows
 everything is `und`. Rows with null doc_id or null lang are never trained on. Equal rows give equal results; ties
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache, partial
 
 import numpy as np
@@ -33,6 +34,7 @@ from tidemark.llm.common import cells, in_batches, map_arrow
 DIMS = 4096
 UNDETERMINED = "und"
 _ROWS_AT_ONCE = 256
+_CLASSES, _STEPS = 64, 4096
 
 
 @lru_cache(maxsize=1)
@@ -141,21 +143,42 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return found
 
 
-def _thresholds(sizes: np.ndarray, cosines: np.ndarray, enough: int = 20) -> np.ndarray:
+_COSINES_ARROW = pa.schema([("size", pa.int32()), ("step", pa.int32()), ("n", pa.int64())])
+
+
+def _cosines(batches: Iterator[pa.RecordBatch], model: Centroids) -> Iterator[pa.RecordBatch]:
+    """Counts of texts by size class and by the step that their cosine falls in."""
+    seen = np.zeros((_CLASSES, _STEPS), np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            found = [counts for text in batch.column("text").slice(at, _ROWS_AT_ONCE).to_pylist() if (counts := gram_counts(text)) is not None]
+            if found:
+                counts = np.array(found)
+                steps = np.minimum((model.nearest(counts)[1] * _STEPS).astype(np.int64), _STEPS - 1)
+                np.add.at(seen, (_size_class(counts.sum(axis=1)), steps), 1)
+    rows = ((int(size), int(step), int(seen[size, step])) for size, step in np.argwhere(seen))
+    return in_batches(rows, _COSINES_ARROW)
+
+
+def _thresholds(seen: np.ndarray, enough: int = 20) -> np.ndarray:
     """Half the smallest cosines of each size class; a class without enough rows takes that of the next smaller one,
-    and below the smallest the threshold falls with the square root of the size, as cosines of short texts do."""
-    known = {size: 0.5 * float(np.quantile(cosines[sizes == size], 0.01)) for size in range(64) if (sizes == size).sum() >= enough}
+    and below the smallest the threshold falls with the square root of the size, as cosines of short texts do.
+
+    seen: rows by size class and step of the cosine. The smallest cosines are the 1 % quantile, rounded down to a step.
+    """
+    up_to = seen.cumsum(axis=1)
+    known = {size: 0.5 * int((up_to[size] > 0.01 * (n - 1)).argmax()) / _STEPS for size, n in enumerate(up_to[:, -1].tolist()) if n >= enough}
     if not known:
-        return np.zeros(64)
+        return np.zeros(_CLASSES)
     first = min(known)
-    return np.array([known[max(k for k in known if k <= size)] if size >= first else known[first] * 2 ** ((size - first) / 2) for size in range(64)])
+    return np.array([known[max(k for k in known if k <= size)] if size >= first else known[first] * 2 ** ((size - first) / 2) for size in range(_CLASSES)])
 
 
 def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Centroids | None:
     """Centroids from training_rows(docs); None without training rows.
 
-    The driver holds the sample's vectors once, sample_rows * DIMS * 4 bytes, a row of statistics for each feature, and
-    one for each language.
+    The driver holds the sample's vectors once, sample_rows * DIMS * 4 bytes, a row of statistics for each feature,
+    one for each language, and one for each size class and step of the cosine that occur.
     """
     training = training_rows(docs)
     stats = training.select("text", "lang").transform(map_arrow, _statistics, "lang string, feature int, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect()
@@ -182,7 +205,6 @@ def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Cent
         weighted = np.frombuffer(row.weights, "<f4") * idf[features]
         vector[features] = weighted / np.linalg.norm(weighted)
     langs = np.array([row.lang for row in sample])
-    sizes = _size_class(np.array([row.total for row in sample]))
     names, centroids = [], []
     for lang in sorted(set(langs.tolist())):
         first, stop = np.searchsorted(langs, lang), np.searchsorted(langs, lang, "right")
@@ -190,7 +212,11 @@ def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Cent
         names += [lang] * len(found)
         centroids.append(found)
     matrix = np.concatenate(centroids).astype(np.float32)
-    return Centroids(names, matrix, idf, _thresholds(sizes, (vectors @ matrix.T).max(axis=1)))
+    model = Centroids(names, matrix, idf, np.zeros(_CLASSES))
+    seen = np.zeros((_CLASSES, _STEPS), np.int64)
+    for row in training.select("text").transform(map_arrow, partial(_cosines, model=model), "size int, step int, n bigint").groupBy("size", "step").agg(F.sum("n").alias("n")).collect():
+        seen[row["size"], row["step"]] = row["n"]
+    return replace(model, thresholds=_thresholds(seen))
 
 
 def _scored(texts: list[str | None], model: Centroids | None) -> list[tuple[str, float, bool]]:
