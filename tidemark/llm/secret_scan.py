@@ -1,7 +1,8 @@
 """Secret scan: wide candidate patterns, and a random forest that removes false positives, in DataFrame functions only.
 
 Candidates are values after a key word and a sign of assignment, and tokens of 12 or more letters, digits and
-`+/_-` that hold a digit. Features of a candidate: its length, how often neighbouring characters change class,
+`+/_-` that hold a digit. Values are found first, so a token that ends in a key word hides none; a token inside a
+value is part of it. Features of a candidate: its length, how often neighbouring characters change class,
 the share of different characters, digits and upper case in it, how much of it a word list covers, whether it stands
 in a path or address, and whether the words around it speak of secrets or of identifiers, hashes and versions.
 
@@ -21,10 +22,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.spans import plain, with_spans
+from tidemark.llm.spans import CONTEXT, MARK, plain, with_spans
 
 # Words that announce a secret, words that speak against one, and the word list for coverage.
-_KEY = r"""(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)["']?[ \t]{0,2}[=:][ \t]{0,2}["']?"""
+_KEY = r"""(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)["']?[ \t]*+[=:][ \t]*+["']?"""
 _FOR = "password|passwd|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|bearer"
 _AGAINST = "commit|sha|md5|hash|checksum|uuid|guid|version|revision|build|order|invoice|isbn|doi|serial|digest|phone|card"
 _WORD_LIST = (
@@ -34,7 +35,11 @@ _WORD_LIST = (
     "value|version|very|want|water|week|well|were|what|when|where|which|while|will|with|work|world|would|year|your"
 )
 _TOKEN = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}={0,2}"
-_PATTERN = rf"""(?i:{_KEY})[^\s"',;]{{6,}}|{_TOKEN}"""
+_VALUE = r"""[^\s"',;]{6,}"""
+#: Values have a mark in front, which ends a token to its left.
+_PATTERN = rf"{MARK}{_VALUE}|{_TOKEN}"
+#: Matches that together are sure to be as long as what is kept before a candidate, and the pieces between them.
+_BACK = 2 * -(-CONTEXT // 6)
 FEATURES = ["size", "changes", "distinct", "digits", "upper", "covered", "path", "cue", "against", "assigned"]
 
 
@@ -105,18 +110,12 @@ def train(findings: DataFrame, trees: int = 20, depth: int = 6) -> RandomForestC
 
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, start, stop, value, before and after of every candidate in the whole texts."""
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), plain(F.col("text")).alias("text"))
-    spans = with_spans(picked, {"spans": (F.col("text"), _PATTERN)}).select("doc_id", F.explode("spans").alias("s"))
-    key = F.regexp_extract("s.match", f"^(?i:{_KEY})", 0)
-    shift = F.length(key)
-    return spans.select(
-        "doc_id",
-        (F.col("s.start") + shift).alias("start"),
-        F.col("s.stop").alias("stop"),
-        F.substring(F.col("s.match"), shift + 1, F.length("s.match")).alias("value"),
-        F.concat("s.before", key).alias("before"),
-        F.col("s.after").alias("after"),
-    )
+    marked = F.regexp_replace(plain(F.col("text")), f"((?i:{_KEY}))({_VALUE})", f"$1{MARK}$2")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked.alias("text"))
+    spans = with_spans(picked, {"spans": (F.col("text"), _PATTERN)}, _BACK, MARK)
+    # Of a plain explode Spark makes a filter on the size of spans, and computes all of it anew there, for each match.
+    spans = spans.select("doc_id", F.explode_outer("spans").alias("s")).where(F.col("s").isNotNull())
+    return spans.select("doc_id", "s.start", "s.stop", F.translate("s.match", MARK, "").alias("value"), "s.before", "s.after")
 
 
 def scan(spark: SparkSession, docs: DataFrame, model: RandomForestClassificationModel | None = None) -> DataFrame:

@@ -27,12 +27,17 @@ def _sum(array: Column) -> Column:
     return F.aggregate(array, F.lit(0), lambda total, n: total + n)
 
 
-def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]]) -> DataFrame:
+def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]], back: int = 1, unseen: str = "") -> DataFrame:
     """df with an array of spans for each name of marks: (text as made by plain(), pattern).
 
     A span has start and stop in code points, the match, up to 24 characters before it and one after it. Sums of
     lengths are kept for blocks of 64 pieces, so the cost of m matches is about m * (64 + m / 64).
+
+    What comes before a match is the text since the match before it, or with back over 1 the last characters of that
+    many pieces, runs of blanks as one; then what comes after may be the next match, too. Characters in unseen were put
+    into the text for the pattern and count nowhere but in the match.
     """
+    seen = (lambda piece: F.translate(piece, unseen, "")) if unseen else (lambda piece: piece)
     tmp = {name: f"__tm_{name}" for name in marks}
 
     def add(columns: dict[str, Column]) -> None:
@@ -41,7 +46,9 @@ def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]]) -> DataFrame
 
     add({f"{t}_p": F.split(F.regexp_replace(marks[n][0], marks[n][1], f"{_OPEN}$0{_CLOSE}"), f"[{_OPEN}{_CLOSE}]") for n, t in tmp.items()})
     has = {t: F.size(f"{t}_p") > 1 for t in tmp.values()}
-    add({f"{t}_n": F.when(has[t], F.transform(f"{t}_p", lambda piece: F.length(piece))) for t in tmp.values()})
+    add({f"{t}_n": F.when(has[t], F.transform(f"{t}_p", lambda piece: F.length(seen(piece)))) for t in tmp.values()})
+    if back > 1:
+        add({f"{t}_e": F.when(has[t], F.transform(f"{t}_p", lambda piece: F.right(F.regexp_replace(seen(piece), "[ \\t]{2,}", " "), F.lit(CONTEXT)))) for t in tmp.values()})
 
     def block_sum(t: str):
         return lambda b: _sum(F.slice(f"{t}_n", b * _BLOCK + 1, _BLOCK))
@@ -56,6 +63,17 @@ def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]]) -> DataFrame
     def span(t: str):
         return lambda k: _span(t, k)
 
+    def before(t: str, k: Column) -> Column:
+        if back == 1:
+            return F.right(F.get(f"{t}_p", k - 1), F.lit(CONTEXT))
+        return F.right(F.concat(*(F.coalesce(F.get(f"{t}_e", k - j), F.lit("")) for j in range(back, 0, -1))), F.lit(CONTEXT))
+
+    def after(t: str, k: Column) -> Column:
+        follows = F.left(F.get(f"{t}_p", k + 1), F.lit(1))
+        if back == 1:
+            return follows
+        return F.left(F.concat(follows, F.coalesce(F.left(seen(F.get(f"{t}_p", k + 2)), F.lit(1)), F.lit(""))), F.lit(1))
+
     def _span(t: str, k: Column) -> Column:
         block = F.floor(k / _BLOCK).cast("int")
         start = F.get(f"{t}_s", block) + _sum(F.slice(f"{t}_n", block * _BLOCK + 1, k % _BLOCK))
@@ -64,9 +82,9 @@ def with_spans(df: DataFrame, marks: dict[str, tuple[Column, str]]) -> DataFrame
             start.alias("start"),
             (start + F.get(f"{t}_n", k)).alias("stop"),
             match.alias("match"),
-            F.right(F.get(f"{t}_p", k - 1), F.lit(CONTEXT)).alias("before"),
-            F.left(F.get(f"{t}_p", k + 1), F.lit(1)).alias("after"),
+            before(t, k).alias("before"),
+            after(t, k).alias("after"),
         )
 
     add({n: F.coalesce(F.when(has[t], F.transform(F.sequence(F.lit(1), F.size(f"{t}_p") - 2, F.lit(2)), span(t))), F.array().cast(SPAN)) for n, t in tmp.items()})
-    return df.drop(*(f"{t}_{x}" for t in tmp.values() for x in "pnbs"))
+    return df.drop(*(f"{t}_{x}" for t in tmp.values() for x in "pnbse"))
