@@ -45,8 +45,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    """Pieces of documents with their token ids, in sequences of 4096 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -1,7 +1,10 @@
 """Operators on training text do the whole job: against brute force on small tables."""
 
+import zlib
+
 import numpy as np
 
+import corpus_pipeline
 from tidemark.llm import language, secret_scan
 from tidemark.llm.common import table
 
@@ -42,3 +45,9 @@ def test_secret_values_after_any_key_are_candidates(spark):
         assert len(mine) == text.count(value)
         assert all(row.cue and row.assigned for row in mine)
     assert sum(row.value == "hunter3x9" for row in found) == 90
+
+
+def test_pipeline_hands_out_token_ids(spark, edge_docs):
+    rows = corpus_pipeline.sequences(spark, edge_docs, SF).collect()
+    assert rows
+    assert all(len(row.ids) == 4 * row.length and zlib.crc32(row.ids) == row.ids_crc32 for row in rows)
