@@ -3,6 +3,7 @@
 import datetime as dt
 
 import __spark_entry__ as entry
+from tidemark.quality import checks
 
 
 def test_calendar_expansion_takes_every_order(spark, tmp_path):
@@ -12,3 +13,9 @@ def test_calendar_expansion_takes_every_order(spark, tmp_path):
     got = sorted(map(tuple, entry.queries()["j05_calendar_expansion"](spark, str(tmp_path)).collect()))
     months = [dt.date(1995 + k // 12, k % 12 + 1, 1) for k in range(85)]
     assert got == sorted((key, month) for key, _, day in orders for month in months if month >= day)
+
+
+def test_cross_checking_names_every_differing_month(spark):
+    months = spark.createDataFrame([(dt.date(2000 + k // 12, k % 12 + 1, 1),) for k in range(150)], "d date")
+    verdict = checks.validate(months.union(months), "t", "ingestion", "d", "2012-07-02", months)
+    assert [row["month"][:7] for row in verdict.failed["CROSS_CHECKING"]] == [f"{2000 + k // 12}-{k % 12 + 1:02}" for k in range(150)]

@@ -127,7 +127,7 @@ def validate(
             verdict.failed[check] = gaps
         elif check == "CROSS_CHECKING" and saved is not None:
             if column:
-                if off := [r.asDict() for r in cross_check_history(df, saved, column).orderBy("month").limit(120).collect()]:
+                if off := [r.asDict() for r in cross_check_history(df, saved, column).orderBy("month").collect()]:
                     verdict.failed[check] = [{**r, "month": str(r["month"])} for r in off]
             elif not (row := cross_check_size(df, saved, tolerance).first())["ok"]:
                 verdict.failed[check] = row.asDict()
