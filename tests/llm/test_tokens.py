@@ -27,9 +27,12 @@ def published(coder):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
 
 
-def strings(n, seed):
+CONTROLS = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>"]
+
+
+def strings(n, seed, more=()):
     rnd = random.Random(seed)
-    return ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
+    return ["".join(rnd.choice([*ALPHABET, *more]) for _ in range(rnd.randint(0, 50))) for _ in range(n)]
 
 
 def test_queue_gives_lowest_rank_then_leftmost():
@@ -61,17 +64,41 @@ def test_bpe_rows(spark, edge_docs, edge_rows, empty_docs, published):
 
 @pytest.fixture(scope="module")
 def words():
-    tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(WORDS)
 
 
 def test_word_tokenizer_equals_published(words):
     own = packing.WordTokenizer(WORDS, remembered=200)
-    for text in [*strings(2500, 2), "IT'S we'Re O'NEIL", "z" * 3000]:
+    texts = [*strings(2500, 2), *strings(1500, 3, CONTROLS * 3), "a <|endoftext|>b", "IT'S we'Re O'NEIL", "z" * 3000]
+    assert any(49407 in words.encode(text, add_special_tokens=False).ids for text in texts)
+    for text in texts:
         assert own.encode(text).tolist() == words.encode(text, add_special_tokens=False).ids
 
 
+def test_control_strings_as_text():
+    plain = Tokenizer.from_file(WORDS)
+    plain.encode_special_tokens = True
+    own = packing.WordTokenizer(WORDS, controls_as_text=True)
+    for text in [*strings(500, 4, CONTROLS * 3), "a <|endoftext|>b"]:
+        ids = own.encode(text).tolist()
+        assert ids == plain.encode(text, add_special_tokens=False).ids
+        assert not {49406, 49407} & set(ids)
+
+
+def test_sequences_of_small_partitions(spark, words):
+    """Tails are solved like the rest: a partition has one sequence below 512 tokens at most, cut where documents or sentences end."""
+    from conftest_llm import make_docs, prose
+
+    docs = make_docs(spark, [(k, ". ".join(prose(k + j, 12) for j in range(k % 40)), None) for k in range(400)]).repartition(32)
+    lengths = {}
+    for row in packing.pack_documents(docs, WORDS).collect():
+        lengths[row.sequence_id] = max(lengths.get(row.sequence_id, 0), row.offset + row.length)
+    short = [sequence >> 32 for sequence, n in lengths.items() if n < 512]
+    assert len(short) == len(set(short)) and max(lengths.values()) <= 4096
+    padded = sum(4096 - n for n in lengths.values() if n & (n - 1))
+    assert padded < 32 * 4096 + 0.02 * sum(lengths.values())
+
+
 def brute_cost(positions, penalties, window, exact):
     best = [0.0] + [float("inf")] * (len(positions) - 1)
     for j in range(1, len(positions)):

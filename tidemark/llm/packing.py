@@ -6,14 +6,17 @@ larger one). The cuts minimise padding plus penalties. The transition of a bound
 within one window; as the cost is a term of the earlier boundary plus one of the later, the best of them is kept
 at the head of a monotone queue, so each boundary costs constant time.
 
-A sequence shorter than the window is padded to it, unless its length is a power of two. Inside the stream powers
-from `least_power` on count as lengths without padding; the rest at the end of a partition is cut into powers of two.
+A sequence shorter than the window is padded to it, unless its length is a power of two, from 2**least_power on.
 
 The stream is solved in stretches of bounded length, the last sequence of each being carried over, so memory is
-bounded by a stretch and the longest document. Partitions are independent: nothing is shuffled, and a task that is
-run again gives the same rows as long as its partition holds the same rows.
-
-Null text counts as empty: its document is the end id alone. Documents keep the order of the input.
+bounded by a stretch and the longest document. The last stretch of a partition is solved like the others, to its end,
+so a partition costs less than a window of padding more than its cuts inside do, and has one sequence below
+2**least_power tokens at most. Partitions are independent: nothing is shuffled, and a task that is run again gives the
+same rows as long as its partition holds the same rows.
+
+Null text counts as empty: its document is the end id alone. Documents keep the order of the input. A control string
+of the tokenizer inside a text gives its id, as in the tokenizer's own library; with controls_as_text it is encoded like
+any other text, so that no document can hold an id that steers a model.
 """
 
 from __future__ import annotations
@@ -64,11 +67,12 @@ class WordTokenizer:
     #: Letters whose lower case is longer or depends on their neighbours.
     _ODD = "\u0130\u03a3"
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, controls_as_text: bool = False, remembered: int = 250_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = controls_as_text
+        self._controls = [] if controls_as_text else [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self._find = finder(self._PIECES)
         self._letters = byte_letters()
         self._model = self._tokenizer.model
@@ -86,15 +90,15 @@ class WordTokenizer:
         return array("I", [token.id for token in self._model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        # Where normal forms or case change the classes of characters, the pre-tokens can't be told beforehand.
-        if not unicodedata.is_normalized("NFC", text) or any(letter in text for letter in self._ODD):
+        # Where normal forms or case change the classes of characters, or control strings cut the text, the pre-tokens can't be told beforehand.
+        if not unicodedata.is_normalized("NFC", text) or any(part in text for part in (*self._ODD, *self._controls)):
             return np.frombuffer(self._encode(text), np.uint32)
         return np.frombuffer(b"".join(map(self._pieces.__getitem__, self._find(text))), np.uint32)
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def _tokenizer(path: str, controls_as_text: bool) -> WordTokenizer:
+    return WordTokenizer(path, controls_as_text)
 
 
 def cut(positions: list[int], penalties: list[float], window: int = WINDOW, exact: dict[int, list[int]] | None = None) -> list[int]:
@@ -177,20 +181,15 @@ class _Packer:
             yield from self._solve()
 
     def finish(self) -> Iterator[tuple]:
-        while self._size > self._window:
-            yield from self._solve()
-        lengths, left = [], self._size
-        while left:
-            lengths.append(min(self._window, 1 << left.bit_length() - 1))
-            left -= lengths[-1]
-        yield from self._emit(np.cumsum([0, *lengths]).tolist())
+        if self._size:
+            yield from self._solve(last=True)
 
-    def _solve(self) -> Iterator[tuple]:
+    def _solve(self, last: bool = False) -> Iterator[tuple]:
         ids = np.concatenate([ids for _, ids, _, _ in self._held])
         ends = np.cumsum([len(ids) for _, ids, _, _ in self._held])
         places, penalty = boundaries(ids, ends, self._sentence_end, self._window, *self._costs)
         cuts = cut(places.tolist(), penalty.tolist(), self._window, _without_padding(places, self._window, self._least))
-        yield from self._emit([int(places[k]) for k in cuts[:-1]])
+        yield from self._emit([int(places[k]) for k in (cuts if last else cuts[:-1])])
 
     def _emit(self, cuts: list[int]) -> Iterator[tuple]:
         """Rows for the sequences between cuts; what lies after the last cut stays."""
@@ -212,8 +211,8 @@ class _Packer:
         self._held, self._size = rest, sum(len(ids) for _, ids, _, _ in rest)
 
 
-def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, keep_ids: bool, **costs) -> Iterator[pa.RecordBatch]:
-    tokenizer = _tokenizer(path)
+def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, keep_ids: bool, controls_as_text: bool, **costs) -> Iterator[pa.RecordBatch]:
+    tokenizer = _tokenizer(path, controls_as_text)
     packer = _Packer(TaskContext.get().partitionId() << 32, tokenizer.is_sentence_end, keep_ids=keep_ids, **costs)
     end = np.array([end_id], np.uint32)
 
@@ -227,7 +226,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, keep_ids:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, sentence: float = 8.0, inside: float = 64.0, gap: int = 256, least_power: int = 9, keep_ids: bool = True
+    docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, sentence: float = 8.0, inside: float = 64.0, gap: int = 256, least_power: int = 9, keep_ids: bool = True, controls_as_text: bool = False
 ) -> DataFrame:
     """A row for each piece of a document: where it starts there, its length, CRC-32 and place in a sequence.
 
@@ -235,5 +234,5 @@ def pack_documents(
     little-endian unsigned 32-bit integers. sentence and inside are penalties in tokens, gap the longest stretch
     without a boundary.
     """
-    pieces = partial(_packed, path=path, end_id=end_id, keep_ids=keep_ids, window=window, sentence=sentence, inside=inside, gap=gap, least_power=least_power)
+    pieces = partial(_packed, path=path, end_id=end_id, keep_ids=keep_ids, controls_as_text=controls_as_text, window=window, sentence=sentence, inside=inside, gap=gap, least_power=least_power)
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").transform(map_arrow, pieces, _OUT + ", ids binary" * keep_ids)
