@@ -12,7 +12,7 @@ from tidemark.quality.ledger import Ledger
 from tidemark.sources.layers import Layers, from_rows, path_exists, select_datasets
 from tidemark.store.evolution import MissingColumnsError, compare, decide
 from tidemark.store.feature_store import FeatureStore, FeatureTable, check_sources
-from tidemark.store.snapshots import ConcurrentCommitError, SnapshotTable
+from tidemark.store.snapshots import ConcurrentCommitError, DuplicateKeysError, SnapshotTable
 from tidemark.streaming.sinks import merge_sink, windowed_counts
 
 SF = "/root/testdata/sf0.001"
@@ -82,6 +82,65 @@ def test_partition_modes(spark, root):
     assert "PartitionFilters: [isnotnull(d" in table.read().where("d = date'2024-03-01'")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_duplicate_keys_are_refused(spark, root):
+    table = SnapshotTable(spark, root)
+    table.overwrite(frame(spark, [(1, None, 1), (2, None, 2)]))
+    twice = frame(spark, [(1, None, 10), (1, None, 11), (3, None, 3), (3, None, 4)])
+    for mode in ("insert_only", "upsert"):
+        with pytest.raises(DuplicateKeysError):
+            table.merge(twice, ["k"], mode)
+    assert table.versions() == [0] and rows(table.read()) == [(1, None, 1), (2, None, 2)]
+    table.merge(frame(spark, [(None, None, 5), (None, None, 5)]), ["k"], "upsert")  # a null key is like no other
+    assert table.read().count() == 4
+    store = FeatureStore(spark, f"{root}-store")
+    with pytest.raises(DuplicateKeysError):
+        store.save(definition(), frame(spark, [(1, D(2024, 1, 1), 5), (1, D(2024, 1, 1), 6)]))
+    assert not store.table("t").exists() and store.registry.names() == []
+
+
+def data_files(table):
+    return set(table._files.below(f"{table.path}/data"))
+
+
+def test_commits_write_only_what_changes(spark, root):
+    table = SnapshotTable(spark, root)
+    table.overwrite(frame(spark, [(k, D(2024, 1 + k % 4, 1), k) for k in range(40)]).repartitionByRange(8, "k"))
+    first = data_files(table)
+    table.append(frame(spark, [(100, None, 1)]).coalesce(1))
+    assert len(data_files(table) - first) == 1 and len(first) == 8
+    before = data_files(table)
+    version = table.merge(frame(spark, [(3, D(2025, 1, 1), -3), (200, None, 7)]), ["k"], "upsert")
+    live = table.manifest(version)["batches"]
+    kept = [f for batch, files in live.items() for f in (files or table._files.below(table._folder(batch)))]
+    assert sum(len(files) for files in live.values() if files) == 7  # of the first eight files one was rewritten
+    assert before <= data_files(table) and len(kept) < len(data_files(table))
+    assert {r.k: r.v for r in table.read().collect()} == {k: k for k in range(40)} | {100: 1, 3: -3, 200: 7}
+    assert {r.k: r.v for r in table.read(version - 1).collect()} == {k: k for k in range(40)} | {100: 1}
+    known = table.manifest()["batches"]
+    table.merge(frame(spark, [(3, None, 0), (201, None, 9)]), ["k"])  # nothing stored changes, so nothing is rewritten
+    assert known.items() <= table.manifest()["batches"].items() and table.read().count() == 43
+    table.merge(frame(spark, [(5, "x"), (300, "y")], "k int, note string"), ["k"])
+    assert {r.k: r.note for r in table.read().where("note is not null").collect()} == {5: "x", 300: "y"}
+    table.vacuum(1)
+    assert data_files(table) == {f"batch__={b}/{f}" for b, files in table.manifest()["batches"].items() for f in (files or table._files.below(table._folder(b)))}
+    assert table.read().count() == 44
+
+
+def test_partitions_with_odd_names(spark, root):
+    table = SnapshotTable(spark, root)
+    names = ["1-URGENT", "a b/c%é=x", "", None, "x:y"]
+    schema = "p string, k int"
+    table.overwrite(frame(spark, [(p, k) for k, p in enumerate(names)], schema), ["p"])
+    files = data_files(table)
+    table.replace_partitions(frame(spark, [("a b/c%é=x", 10), ("a b/c%é=x", 11)], schema).coalesce(1), "p")
+    assert len(data_files(table) - files) == 1
+    assert {r.k for r in table.read().collect()} == {0, 2, 3, 4, 10, 11}
+    table.merge(frame(spark, [("x:y", 4), ("1-URGENT", 50)], schema), ["k"], "upsert")
+    assert {r.k for r in table.read().collect()} == {0, 2, 3, 4, 10, 11, 50}
+    table.vacuum(1)
+    assert {(r.p or "", r.k) for r in table.read().collect()} == {("1-URGENT", 0), ("a b/c%é=x", 10), ("a b/c%é=x", 11), ("", 2), ("", 3), ("x:y", 4), ("1-URGENT", 50)}
+
+
 def test_evolution(spark):
     diff = compare(frame(spark, []).schema, frame(spark, [], "k int, v string, n int").schema)
     assert (diff.new_columns, diff.missing_columns, diff.changed_types) == (["n"], ["d"], {"v": ("int", "string")})
@@ -231,3 +290,57 @@ def test_streams(spark, root, tmp_path):
     events = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), "a", 1.5), (dt.datetime(2024, 1, 1, 9), "a", 2.0), (dt.datetime(2024, 1, 2), "b", 1.0)], "ts timestamp, kind string, x double")
     got = windowed_counts(events, "ts", ["kind"], value="x")
     assert sorted((r.kind, r.n, r.x_sum) for r in got.collect()) == [("a", 2, 3.5), ("b", 1, 1.0)]
+
+
+def test_debugging(spark, caplog):
+    import io
+    import logging
+
+    from tidemark.plans import debug
+
+    text = io.StringIO()
+    logger = debug.colour_logger("tidemark.debug", stream=text)
+    assert len(debug.colour_logger("tidemark.debug", stream=text).handlers) == 1
+    make = debug.logs_columns(lambda: frame(spark, [(1, None, 2)]))
+    assert make().count() == 1 and debug.logs_shape(count=True)(make)().count() == 1
+    assert debug.logs_shape()(lambda: 7)() == 7
+    lines = text.getvalue().splitlines()
+    assert len(lines) == 3 and all(line.startswith("\033[34m") and line.endswith("\033[0m") for line in lines) and "1 rows, 3 columns" in lines[-1]
+    logger.log(logging.DEBUG + 15, "plain")
+    assert "\033" not in text.getvalue().splitlines()[-1]
+
+
+def test_rest_source(spark):
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from tidemark.sources.rest import RestSource
+
+    class Service(BaseHTTPRequestHandler):
+        def do_GET(self):
+            page = int(self.path.rpartition("=")[2])
+            found = self.headers["Authorization"] == "Bearer t"
+            self.send_response(200 if found else 401)
+            self.end_headers()
+            self.wfile.write(json.dumps({"jobs": [{"job_id": 10 * page + k, "name": f"j{k}", "tags": {"a": page}} for k in range(2)]}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    spark.dataSource.register(RestSource)
+    reader = spark.read.format("rest").schema("job_id bigint, name string, tags string, more int").options(url=f"http://127.0.0.1:{server.server_port}/jobs?page={{page}}", pages=2, field="jobs")
+    assert rows(reader.option("token", "t").load()) == [(0, "j0", '{"a": 0}', None), (1, "j1", '{"a": 0}', None), (10, "j0", '{"a": 1}', None), (11, "j1", '{"a": 1}', None)]
+    with pytest.raises(Exception, match="401"):
+        reader.option("token", "x").load().collect()
+    server.shutdown()
+
+
+def test_watch_ends():
+    told = []
+    outcome = jobs.watch(lambda: {"a": "RUNNING", "b": "SUCCESS"}, ["a", "b"], told.append, interval=5, give_up=10, sleep=lambda _: None)
+    assert outcome.states == {"b": "SUCCESS", "a": "TIMEDOUT"} and told == ["b"] and isinstance(outcome.errors["a"], TimeoutError)
+    outcome = jobs.watch(lambda: {"a": "SUCCESS"}, ["a"], lambda name: 1 / 0, sleep=lambda _: None)
+    assert isinstance(outcome.errors["a"], ZeroDivisionError)

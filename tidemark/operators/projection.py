@@ -190,6 +190,19 @@ def categorize_by_fixed_values(df: DataFrame, column: str, new_column_name: str,
     return df.withColumn(new_column_name, out.cast(cast_type) if cast_type else out)
 
 
+def roll_up(df: DataFrame, column: str, new_column_name: str, groups: Mapping[str, Sequence], same: Sequence = (), otherwise: Any = None, keep_null: bool = False) -> DataFrame:
+    """A coarser category: {category: values of the column}. Values in same stay as they are, all others become otherwise.
+
+    A null is one of the others, unless keep_null is set.
+    """
+    require(df, [column])
+    source = F.col(column)
+    out = F.when(source.isin(*same), source) if same else F.when(F.lit(False), source)
+    for category, values in groups.items():
+        out = out.when(source.isin(*values), F.lit(category))
+    return df.withColumn(new_column_name, (out.when(source.isNotNull(), F.lit(otherwise)) if keep_null else out.otherwise(F.lit(otherwise))))
+
+
 def binarize(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Columns from SQL expressions, one after the other, so later ones see earlier ones."""
     for name, sql in columns.items():

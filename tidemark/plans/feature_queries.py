@@ -84,7 +84,7 @@ def _holding_monthly() -> str:
 
 @query(_rolled_sql(features.HOLDING_PRODUCTS, _holding_monthly()))
 def f03_fs_cus_holding_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.holding_products(star.products(spark, sf_dir))
+    return features.holding_products(star.products(spark, sf_dir), normalize=False)
 
 
 _PAID = "(l_extendedprice::decimal(18,2) * (1 - l_discount::decimal(4,2)))::decimal(18,2)"
@@ -212,8 +212,10 @@ def d11_month_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.month_calendar(spark, START, END)
 
 
-@query(f"""WITH d AS (SELECT unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 MONTH))::date AS release_dt)
-SELECT o_orderkey, release_dt FROM orders, d WHERE o_custkey < 200 AND release_dt >= o_orderdate::date""")
+_FIRST_MONTH = "CASE WHEN day(o_orderdate) = 1 THEN o_orderdate::date ELSE (date_trunc('month', o_orderdate) + INTERVAL 1 MONTH)::date END"
+
+
+@query(f"SELECT o_orderkey, unnest(generate_series(greatest(DATE '{START}', {_FIRST_MONTH}), DATE '{END}', INTERVAL 1 MONTH))::date AS release_dt FROM orders")
 def j05_calendar_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
     return dates.expand_months(orders, "d", START, END).select("o_orderkey", "release_dt")

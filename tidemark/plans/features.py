@@ -19,7 +19,7 @@ from tidemark.operators.cleaning import normalize_strings
 from tidemark.operators.dates import expand_months, tenure, whole_months
 from tidemark.operators.filters import exclude_sentinel
 from tidemark.operators.joins import percentages, ratios
-from tidemark.operators.projection import standardize_output
+from tidemark.operators.projection import roll_up, standardize_output
 from tidemark.operators.windows import rolling
 
 ID, RELEASE = "id_customer", "release_dt"
@@ -109,13 +109,9 @@ def _as_double(df: DataFrame, *columns: str) -> DataFrame:
 def demographic(customers: DataFrame, start_date: str, end_date: str) -> DataFrame:
     """A row for each customer and month from the opening of the account on, within the dates."""
     clean = exclude_sentinel(normalize_strings(customers), ID)
-    level, status = F.col("educational_level"), F.col("marital_status")
-    grouped = clean.withColumns(
-        {
-            "educational_lvl1": F.when(level.isin("universitario", "postgrado"), "superior").when(level.isin("secundaria", "primaria"), level).otherwise("ninguna"),
-            "marital_status_lvl1": F.when(status.isin("divorciado", "soltero"), "soltero").when(status.isNotNull(), "casado"),
-        }
-    ).withColumnsRenamed({"educational_level": "educational_lvl2", "marital_status": "marital_status_lvl2"})
+    grouped = roll_up(clean, "educational_level", "educational_lvl1", {"superior": ["universitario", "postgrado"]}, ["secundaria", "primaria"], "ninguna")
+    grouped = roll_up(grouped, "marital_status", "marital_status_lvl1", {"soltero": ["divorciado", "soltero"]}, otherwise="casado", keep_null=True)
+    grouped = grouped.withColumnsRenamed({"educational_level": "educational_lvl2", "marital_status": "marital_status_lvl2"})
     monthly = expand_months(grouped, "customer_code_creation_date", start_date, end_date, RELEASE)
     return DEMOGRAPHIC.output(tenure(monthly, "cust_code_creation_time_months", RELEASE, "customer_code_creation_date"))
 
@@ -127,8 +123,11 @@ def credit_risk(bureau: DataFrame) -> DataFrame:
     return CREDIT_RISK.output(ratios(rolled, [("total_banking_debt_sum", "bureau_score_sum")]))
 
 
-def holding_products(products: DataFrame) -> DataFrame:
-    rows = _released(products, None, ("amount",)).withColumn("product", normalized_text("product"))
+def holding_products(products: DataFrame, normalize: bool = True) -> DataFrame:
+    """normalize: whether names of products still have to be normalised; a source that joins them from a table of its own
+    does so there, once for each product instead of once for each row."""
+    rows = _released(products, None, ("amount",))
+    rows = rows.withColumn("product", normalized_text("product")) if normalize else rows
     stats = {"products_cnt": ["max"], "amount": ["sum", "avg", "min", "max"]}
     monthly = pivot_panel(rows, [ID, RELEASE], stats, "product", {"amount": "amount_sum_m"}, PRODUCTS)
     monthly = monthly.withColumnRenamed("products_cnt_max_m", "products_cnt_m")

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+import time
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 from graphlib import TopologicalSorter
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans import features
 from tidemark.sources import star
@@ -52,7 +55,7 @@ def checked_params(params: Mapping[str, Any], as_of: date | None = None) -> dict
 BUILDERS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[..., DataFrame]]] = {
     "fs_cus_demographic": (star.customers, features.demographic),
     "fs_cus_credit_risk": (star.bureau, features.credit_risk),
-    "fs_cus_holding_products": (star.products, features.holding_products),
+    "fs_cus_holding_products": (star.products, partial(features.holding_products, normalize=False)),
     "fs_cus_payment_behavior": (star.payments, features.payment_behavior),
     "fs_cus_transactions": (star.transactions, features.transactions),
 }
@@ -135,3 +138,54 @@ def feature_tasks(spark: SparkSession, store: FeatureStore, sf_dir: str, registe
     if registered is not None:
         tasks.append(Task("registry", lambda: store.registry.sync(registered.registry), [t.name for t in tasks], "all_done"))
     return tasks
+
+
+#: States in which a task is done, of which the first is a success.
+DONE = ("SUCCESS", "FAILED", "CANCELED", "TIMEDOUT", "SKIPPED", "EXCLUDED", "UPSTREAM_FAILED", "INTERNAL_ERROR")
+
+
+def find_job(jobs: Iterable[Mapping[str, Any]], name: str, tags: Mapping[str, str]) -> Mapping[str, Any] | None:
+    """The first job of that name that has all the tags."""
+    return next((job for job in jobs if job["name"] == name and tags.items() <= (job.get("tags") or {}).items()), None)
+
+
+def task_states(attempts: DataFrame, job: Any, tasks: Sequence[str] = ()) -> DataFrame:
+    """task and state in the newest run of a job; of a task that was tried again the newest attempt counts.
+
+    attempts: job, run, task, started, state. Tasks that have not started in that run have no row.
+    """
+    mine = attempts.where(F.col("job") == F.lit(job))
+    mine = mine.where(F.col("task").isin(*tasks)) if tasks else mine
+    newest = attempts.where(F.col("job") == F.lit(job)).agg(F.max("run"))
+    return mine.where(F.col("run") == newest.scalar()).groupBy("task").agg(F.max_by("state", F.struct("started", "state")).alias("state"))
+
+
+def watch(states: Callable[[], Mapping[str, str]], tasks: Sequence[str], on_success: Callable[[str], Any], interval: float = 60, give_up: float | None = None, sleep: Callable[[float], Any] = time.sleep) -> Outcome:
+    """Asks for the states of tasks until all are done, and tells on_success of each success once.
+
+    A task that ended otherwise, or whose on_success fails, is an error; errors are collected and the others go on. A
+    state in DONE ends a task, any other is waited for, up to give_up seconds in all.
+    """
+    outcome, left, waited = Outcome(), list(tasks), 0.0
+    while left:
+        now = states()
+        for name in [t for t in left if now.get(t) in DONE]:
+            left.remove(name)
+            outcome.states[name] = now[name]
+            if now[name] != DONE[0]:
+                outcome.errors[name] = RuntimeError(f"task {name} ended as {now[name]}")
+                continue
+            try:
+                outcome.results[name] = on_success(name)
+            except Exception as error:
+                log.warning("task %s succeeded but wasn't handled: %s", name, error)
+                outcome.errors[name] = error
+        if left and give_up is not None and waited >= give_up:
+            for name in left:
+                outcome.states[name] = "TIMEDOUT"
+                outcome.errors[name] = TimeoutError(f"task {name} wasn't done after {waited:.0f} s")
+            break
+        if left:
+            sleep(interval)
+            waited += interval
+    return outcome

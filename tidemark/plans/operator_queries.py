@@ -9,6 +9,7 @@ from tidemark.functions import exprs
 from tidemark.operators import aggregation, cleaning, dates, filters, joins, projection, windows
 from tidemark.plans.feature_queries import rounded
 from tidemark.plans.registry import query, table
+from tidemark.sources.layers import sql_with_views
 from tidemark.sources.star import money
 
 
@@ -39,9 +40,11 @@ def s01_scan_rename_case_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"))
 
 
-@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("""WITH m AS (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 MONTH))::date AS release_dt)
+SELECT release_dt, count(o_orderkey) AS n, count(DISTINCT o_custkey) AS customers FROM m LEFT JOIN orders ON date_trunc('month', o_orderdate) = release_dt GROUP BY 1""")
 def s08_temp_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql("SELECT n_name, r_name FROM {nation} JOIN {region} ON n_regionkey = r_regionkey", nation=table(spark, sf_dir, "nation"), region=table(spark, sf_dir, "region"))
+    text = "SELECT release_dt, count(o_orderkey) AS n, count(DISTINCT o_custkey) AS customers FROM release_dates LEFT JOIN dated_orders ON trunc(o_orderdate, 'MM') = release_dt GROUP BY 1"
+    return sql_with_views(spark, text, release_dates=dates.month_calendar(spark, "1995-01-01", "2002-01-01"), dated_orders=orders(spark, sf_dir))
 
 
 # --- projections ---
@@ -216,9 +219,9 @@ def c09_lower_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.lower_plain_strings(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query("SELECT r_regionkey AS ano_de_pago, r_name AS m_name FROM region")
+@query("SELECT r_regionkey AS ano_de_pago, r_name AS ma_name FROM region")
 def c12_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.standardize_column_names(table(spark, sf_dir, "region").toDF("Año de Pago", "M@-Name!".replace("@", "")))
+    return cleaning.standardize_column_names(table(spark, sf_dir, "region").toDF("Año de Pago", "M@-Name!"))
 
 
 @query("SELECT o_orderkey, coalesce(status, priority) AS s FROM (" + _SPARSE + ")")
@@ -267,9 +270,9 @@ def j02_point_in_time_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.point_in_time_join_by_range(left, _shipments(spark, sf_dir), ["o_custkey"], "o_orderdate", values, "day", ["o_orderkey"])
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def j03_exclude_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    excluded = orders(spark, sf_dir).select(F.col("o_custkey").alias("c_custkey"))
+    excluded = orders(spark, sf_dir).where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return joins.exclude_ids(table(spark, sf_dir, "customer").select("c_custkey"), excluded, ["c_custkey"])
 
 
@@ -286,11 +289,11 @@ def j06_aggregate_and_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregation.aggregation_operations(orders(spark, sf_dir), ["o_custkey"], ops, join=True).select("o_orderkey", "o_custkey", "n", "top")
 
 
-@query("""WITH a AS (SELECT date_trunc('month', o_orderdate)::date AS month, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT date_trunc('month', l_shipdate)::date AS month, count(*) AS n FROM lineitem WHERE l_quantity > 40 GROUP BY 1)
+@query("""WITH a AS (SELECT date_trunc('month', o_orderdate)::date AS month, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT date_trunc('month', l_shipdate)::date AS month, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT coalesce(a.month, b.month) AS month, a.n AS source_n, b.n AS target_n, coalesce(a.n, 0) - coalesce(b.n, 0) AS diff, abs(a.n - b.n) / nullif(b.n, 0) AS rel_diff FROM a FULL JOIN b ON a.month = b.month""")
 def j07_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     ours = aggregation.count_by_month(table(spark, sf_dir, "orders"), "o_orderdate")
-    theirs = aggregation.count_by_month(table(spark, sf_dir, "lineitem").where("l_quantity > 40"), "l_shipdate")
+    theirs = aggregation.count_by_month(table(spark, sf_dir, "lineitem"), "l_shipdate")
     return joins.reconcile(ours, theirs, "month", "n")
 
 

@@ -72,8 +72,7 @@ def cross_check_history(source: DataFrame, saved: DataFrame, column: str, start:
     require(source, [column])
     require(saved, [column])
     day = F.to_date(column)
-    last = saved.agg(F.max(day).alias("__last"))
-    within = source.join(F.broadcast(last), day <= F.col("__last")).drop("__last")
+    within = source.where(day <= saved.agg(F.max(day)).scalar())
     if start:
         within, saved = (df.where(day >= F.lit(start).cast("date")) for df in (within, saved))
     return reconcile(count_by_month(within, column), count_by_month(saved, column), "month", "n").where("diff != 0")
@@ -102,20 +101,36 @@ class Verdict:
         return "OK" if self.ok else "FAILED"
 
 
+#: The layer that has to be saved before a layer is, by the ledger.
+BEFORE = {"preprocessing": "ingestion", "feature": "preprocessing"}
+
 #: The checks of each layer, in order.
 CHECKS = {
     "ingestion": ["MISSING_COLUMNS", "MONTHLY_VAL", "CROSS_CHECKING", "OUTDATENESS"],
-    "preprocessing": ["OUTDATENESS"],
-    "feature": ["OUTDATENESS"],
+    "preprocessing": ["INGESTION_SAVED", "OUTDATENESS"],
+    "feature": ["PREPROCESSING_SAVED", "OUTDATENESS"],
 }
 
 
 def validate(
-    df: DataFrame, table: str, layer: str, column: str | None, as_of: str, saved: DataFrame | None = None, expected: Sequence[str] = (), shift_months: int = 0, fmt: str | None = None, ignore: Sequence[str] = (), tolerance: float = 0.05
+    df: DataFrame,
+    table: str,
+    layer: str,
+    column: str | None,
+    as_of: str,
+    saved: DataFrame | None = None,
+    expected: Sequence[str] = (),
+    shift_months: int = 0,
+    fmt: str | None = None,
+    ignore: Sequence[str] = (),
+    tolerance: float = 0.05,
+    before: Mapping[str, Any] | None = None,
 ) -> Verdict:
     """The layer's checks. Without a date column a table is dimensional: sizes are compared and freshness is left out.
 
-    Without saved data there is nothing to cross-check. The actions here are one small aggregate for each check.
+    Without saved data there is nothing to cross-check. before is the newest ledger row of the layer before; without
+    one, or where it let nothing through, the check that it was saved fails. Ledger.validate() looks it up. The actions
+    here are one small aggregate for each check.
     """
     if layer not in CHECKS:
         raise ValueError(f"unknown layer {layer!r}")
@@ -131,6 +146,8 @@ def validate(
                     verdict.failed[check] = [{**r, "month": str(r["month"])} for r in off]
             elif not (row := cross_check_size(df, saved, tolerance).first())["ok"]:
                 verdict.failed[check] = row.asDict()
+        elif check.endswith("_SAVED") and (before is None or before["state"] != "OK"):
+            verdict.failed[check] = "not found in the ledger" if before is None else f"didn't pass: {before['reason']}"
         elif check == "OUTDATENESS" and column:
             row = freshness(df, table, column, as_of, shift_months, fmt).first()
             if row["outdated"]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
-from tidemark.quality.checks import CHECKS, Verdict
+from tidemark.quality.checks import BEFORE, CHECKS, Verdict, validate
 from tidemark.store.files import Files
 
 SUMMARY = StructType(
@@ -70,6 +70,11 @@ class Ledger:
         found = rows.orderBy(F.desc("executed_at")).limit(1).collect()
         return found[0].asDict() if found else None
 
+    def validate(self, df: DataFrame, table: str, layer: str, column: str | None, as_of: str, database: str | None = None, **options: Any) -> Verdict:
+        """validate() with what the ledger tells of the layer before; options go on to it."""
+        before = self.last(table, BEFORE[layer], database) if layer in BEFORE else None
+        return validate(df, table, layer, column, as_of, before=before, **options)
+
     def passed(self, table: str, layer: str) -> bool:
         """Whether the newest validation of the layer before let the table through; False without one."""
         row = self.last(table, layer)

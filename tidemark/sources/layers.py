@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -39,6 +41,38 @@ def from_rows(spark: SparkSession, rows: list, schema: StructType | str) -> Data
     return spark.createDataFrame(rows, schema)
 
 
+if TYPE_CHECKING:
+    import pandas as pd
+
+
+def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: StructType | str | None = None) -> DataFrame:
+    """A frame that the driver already holds, sent through Arrow; its missing values become NULL."""
+    return spark.createDataFrame(frame.astype(object).where(frame.notna(), None) if schema else frame, schema)
+
+
+_TABLE_NAME = re.compile(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*)?")
+
+
+def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> DataFrame:
+    """df as a catalog table (table or db.table), at a path if one is given, and that table as read back."""
+    if not _TABLE_NAME.fullmatch(name):
+        raise ValueError(f"{name!r} isn't a table's name")
+    writer = df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)
+    writer.saveAsTable(name, format="parquet", path=path)
+    return df.sparkSession.table(name)
+
+
+def sql_with_views(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """A query over frames under temporary view names; the views are gone afterwards, the result keeps its plan."""
+    try:
+        for name, df in frames.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(text)
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)
+
+
 def select_datasets(config: Mapping, wanted: list[str] | str | None = None, omit: list[str] | None = None) -> list[str]:
     """Names of datasets in the order of the config; nothing, or '*', means all."""
     names = list(config) if not wanted or wanted in ("*", ["*"]) else [wanted] if isinstance(wanted, str) else list(wanted)

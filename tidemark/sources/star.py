@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.exprs import normalized_text
+
 RATINGS = {"1": 1, "2": 2, "3": 3, "4": 4, "5": 5}
 
 
@@ -41,8 +43,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """id, event date, product, amount and products held, a row for each line item."""
+    """id, event date, product (normalised), amount and products held, a row for each line item."""
     orders, items, part = (_table(spark, sf_dir, t) for t in ("orders", "lineitem", "part"))
+    part = part.select("p_partkey", normalized_text("p_type").alias("p_type"))
     joined = items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).join(part, items["l_partkey"] == part["p_partkey"])
     return joined.select(
         F.col("o_custkey").alias("id_customer"),

@@ -43,8 +43,17 @@ class FeatureTable:
         return {"description": self.description, "primary_keys": list(self.primary_keys), "timestamp_keys": list(self.timestamp_keys), "sources": list(self.sources), "tags": dict(self.tags)}
 
 
+def can_read(df: DataFrame) -> str | None:
+    """Why a row of df can't be read, or None. A table may be listed and yet be closed to the reader, or its files gone."""
+    try:
+        df.limit(1).collect()
+    except Exception as error:  # whatever stands in the way, the caller is told of it
+        return str(error).strip().splitlines()[0]
+    return None
+
+
 def check_sources(spark: SparkSession, sources: Sequence[str]) -> None:
-    """Each source is db.table, exists and has columns; all failures in one ValueError."""
+    """Each source is db.table, exists, has columns and can be read; all failures in one ValueError."""
     wrong = []
     for source in sources:
         if source.count(".") != 1 or not all(source.split(".")):
@@ -55,6 +64,8 @@ def check_sources(spark: SparkSession, sources: Sequence[str]) -> None:
             wrong.append(f"there is no table {source!r}")
         elif not spark.table(source).columns:
             wrong.append(f"{source!r} has no columns")
+        elif reason := can_read(spark.table(source)):
+            wrong.append(f"{source!r} can't be read: {reason}")
     if wrong:
         raise ValueError("; ".join(wrong))
 
@@ -75,10 +86,9 @@ class Registry:
         return self._files.read_json(self._path(name)) if self._files.exists(self._path(name)) else None
 
     def register(self, name: str, entry: Mapping[str, Any]) -> bool:
-        """Create or, where the schema changed, drop and recreate; False if nothing changed."""
+        """Create, or replace where anything changed, in one rename; False if nothing changed."""
         if self.get(name) == dict(entry):
             return False
-        self.drop(name)
         self._files.write_json(self._path(name), dict(entry))
         return True
 
@@ -111,7 +121,8 @@ class FeatureStore:
         """Write the first version, or merge into the newest under the schema rules; then register.
 
         Columns that went are dealt with by on_missing; where it says 'overwrite', or with force_overwrite, df
-        replaces the table. Returns version, operation, warnings and whether the schema changed.
+        replaces the table. Rows that share a primary key are refused. Returns version, operation, warnings and
+        whether the schema changed.
         """
         require(df, definition.primary_keys)
         stored = self.table(definition.name)
@@ -120,10 +131,9 @@ class FeatureStore:
         if diff.missing_columns and action == "merge" and decide(diff, on_missing) == "overwrite":
             action = "overwrite"
         if action == "overwrite":
-            version = stored.overwrite(df, files=files, properties=definition.config())
+            version = stored.overwrite(df, files=files, properties=definition.config(), unique=definition.primary_keys)
         else:
-            version = stored.merge(df, definition.primary_keys, mode)
-            stored.set_properties(definition.config())
+            version = stored.merge(df, definition.primary_keys, mode, definition.config())
         entry = {**definition.config(), "path": stored.path, "schema": stored.manifest()["schema"]}
         registered = self.registry.register(definition.name, entry)
         return {"version": version, "operation": action, "warnings": diff.warnings(), "schema_changed": bool(diff), "registered": registered}
@@ -131,8 +141,11 @@ class FeatureStore:
     def read(self, name: str, version: int | None = None) -> DataFrame:
         return self.table(name).read(version)
 
-    def lookup(self, labels: DataFrame, name: str, keys: Sequence[str], time: str, features: Sequence[str] | None = None, version: int | None = None) -> DataFrame:
-        """labels with the newest features known at their time."""
+    def lookup(self, labels: DataFrame, name: str, keys: Sequence[str], time: str, features: Sequence[str] | None = None, version: int | None = None, bucket: str | None = None) -> DataFrame:
+        """labels with the newest features known at their time.
+
+        bucket ('day', 'month', 'year') cuts each key's rows there, for keys with a large share of all rows.
+        """
         entry = self.registry.get(name)
         if entry is None:
             raise LookupError(f"{name!r} isn't registered")
@@ -140,4 +153,4 @@ class FeatureStore:
         right_keys = [k for k in entry["primary_keys"] if k != stamp]
         frame = self.read(name, version)
         chosen = list(features) if features else [c for c in frame.columns if c not in entry["primary_keys"]]
-        return point_in_time_join(labels, frame, keys, time, chosen, right_keys, stamp)
+        return point_in_time_join(labels, frame, keys, time, chosen, right_keys, stamp, bucket=bucket)

@@ -15,8 +15,8 @@ from tidemark.store.snapshots import SnapshotTable
 def merge_sink(stream: DataFrame, target: Callable[[], SnapshotTable], keys: Sequence[str], mode: str = "upsert", newest_by: str | None = None) -> DataStreamWriter:
     """Each micro-batch merged into a snapshot table by its keys.
 
-    A batch that is run again after a failure is told by its number, kept with the table, and left out. Of several
-    rows of a key in one batch the newest by newest_by counts.
+    A batch that is run again after a failure is told by its number, committed with its rows, and left out. Of several
+    rows of a key in one batch the newest by newest_by counts. A batch rewrites only the files that hold its keys.
     """
     require(stream, keys)
 
@@ -30,8 +30,7 @@ def merge_sink(stream: DataFrame, target: Callable[[], SnapshotTable], keys: Seq
         if not table.exists():
             table.overwrite(batch, properties={"stream_batch": number})
         elif table.manifest()["properties"].get("stream_batch", -1) < number:
-            table.merge(batch, keys, mode)
-            table.set_properties({"stream_batch": number})
+            table.merge(batch, keys, mode, {"stream_batch": number})
 
     return stream.writeStream.foreachBatch(write)
 
