@@ -3,10 +3,13 @@
 import hashlib
 import json
 import re
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 
 from conftest_llm import make_docs
 from tidemark.llm import audio, chat, language, quality
@@ -74,8 +77,43 @@ def test_quality_verdicts(spark):
     assert got == {1: (True, clean), 2: (True, clean), 3: (False, ""), 4: (True, clean)}
 
 
-def test_quality_long(spark, edge_docs):
-    assert quality.measure(edge_docs).count() == edge_docs.count()
+def slow_line_fails(line):
+    visible = len(re.sub(r"[\x20\x09-\x0D]", "", line))
+    letters = sum(unicodedata.category(c)[0] == "L" for c in line)
+    symbols = sum(c in "#*$%&|<>" for c in line)
+    menu = sum(c in "|>»›" for c in line) >= 2 or visible <= 300 and regex.match(rf"[ \t]*(?:{quality.NAVIGATION})(?!\p{{L}})", line.lower())
+    notice = len(line) - len(re.sub(quality.BOILERPLATE, "", line.lower()))
+    return visible > 0 and bool(10 * symbols > visible or 2 * letters < visible or menu and len(line.split()) <= 12 or visible <= 300 and 10 * notice >= visible)
+
+
+def test_quality_long(spark, edge_docs, edge_rows):
+    """Very long texts: the figures, the verdict and the cleaned text against plain Python."""
+    got = sorted((r.doc_id or 0, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.base_failed, r.kept, r.lost_chars, r.clean_text) for r in quality.measure(edge_docs).collect())
+    want = []
+    for d, t, _ in edge_rows:
+        text = t or ""
+        words, lines = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w], text.split("\n")
+        windows = Counter(zip(*(words[k:] for k in range(8))))
+        covered = {p for k in range(len(words) - 7) if windows[tuple(words[k : k + 8])] > 1 for p in range(k, k + 8)}
+        good, filled = [x for x in lines if not slow_line_fails(x)], [x for x in lines if x.strip(" \t\n\x0b\x0c\r")]
+        chars = sum(map(len, words))
+        clean = text if len(good) == len(lines) else "\n".join(good)
+        lost = chars - len(re.sub(r"[\x20\x09-\x0D]", "", clean))
+        failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+        want.append((d or 0, len(words), chars, len(re.findall(r"[#*$%&|<>]", text)), len(filled) - len(set(filled)), failed, not failed and lost <= 0.5 * chars, lost, clean))
+    assert got == sorted(want)
+
+
+def test_quality_phrases_in_four_languages(spark):
+    long = " ".join(f"good{k} words" for k in range(40))
+    notices = ["Alle Rechte vorbehalten. Impressum", "Tous droits réservés", "Política de privacidad | Aviso legal", "© 2024 Somebody", "Please accept cookies to go on.", "Startseite", "Lire la suite", "Menú"]
+    rows = [(k, f"{long}\n{line}", None) for k, line in enumerate(notices)]
+    # One phrase inside a long line, and words that only look like phrases, cost nothing.
+    fair = [f"{long} cookie {long}", f"{long} all rights reserved {long}", "She baked a cookie, and the menus were printed on paper.", "The copyright of it was long disputed in the courts of that country."]
+    rows += [(100 + k, f"{long}\n{line}", None) for k, line in enumerate(fair)]
+    got = {r.doc_id: (r.kept, r.clean_text) for r in quality.measure(make_docs(spark, rows)).collect()}
+    assert {k: got[k] for k in range(len(notices))} == {k: (True, long) for k in range(len(notices))}
+    assert {k: got[k] for k in got if k >= 100} == {100 + k: (True, f"{long}\n{line}") for k, line in enumerate(fair)}
 
 
 def slow_adpcm(block):
