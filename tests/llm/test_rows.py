@@ -109,7 +109,8 @@ def test_quality_phrases_in_four_languages(spark):
     notices = ["Alle Rechte vorbehalten. Impressum", "Tous droits réservés", "Política de privacidad | Aviso legal", "© 2024 Somebody", "Please accept cookies to go on.", "Startseite", "Lire la suite", "Menú"]
     rows = [(k, f"{long}\n{line}", None) for k, line in enumerate(notices)]
     # One phrase inside a long line, and words that only look like phrases, cost nothing.
-    fair = [f"{long} cookie {long}", f"{long} all rights reserved {long}", "She baked a cookie, and the menus were printed on paper.", "The copyright of it was long disputed in the courts of that country."]
+    other, more = (" ".join(f"{word}{'xyz'[k % 3] * (k // 3 + 1)}" for k in range(40)) for word in ("fine", "fair"))
+    fair = [f"{other} cookie {more}", f"{other} all rights reserved {more}", "She baked a cookie, and the menus were printed on paper.", "The copyright of it was long disputed in the courts of that country."]
     rows += [(100 + k, f"{long}\n{line}", None) for k, line in enumerate(fair)]
     got = {r.doc_id: (r.kept, r.clean_text) for r in quality.measure(make_docs(spark, rows)).collect()}
     assert {k: got[k] for k in range(len(notices))} == {k: (True, long) for k in range(len(notices))}
