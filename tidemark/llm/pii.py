@@ -155,7 +155,7 @@ def with_candidates(df: DataFrame, text: str, out: str) -> DataFrame:
         "name": (F.col("__tm_t"), _NAME),
     }
     names = {kind: f"__tm_{kind}_found" for kind in KINDS}
-    df = with_spans(df, {names[kind]: patterns[kind] for kind in KINDS})
+    df = with_spans(df, {names[kind]: patterns[kind] for kind in KINDS}, 5)
     df = df.withColumn(names["email"], F.transform(names["email"], lambda s: s.withField("match", F.translate(s["match"], MARK, "."))))
     df = df.withColumns({names[kind]: F.filter(names[kind], _valid(kind)) for kind in _VALID})
     df = df.withColumn("__tm_base", F.concat(*(F.transform(names[kind], _candidates(kind, True)) for kind in BASE_KINDS)))
