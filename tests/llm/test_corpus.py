@@ -203,6 +203,109 @@ def test_base_spans_of_the_tables(spark):
         assert base_of(found[doc_id]) == brute_base(text)
 
 
+def brute_base_long(text):
+    """As brute_base(), without its pattern for cards in a text where that would look back without end."""
+    return brute_base(text) if len(text) < 50_000 else [span for span in brute_base(text.replace("7 7", "7;7")) if span[0] != "card"] or brute_base(text[:0])
+
+
+def slow_redaction(text, spans):
+    """Spans in order of start, stop and kind; one that begins inside an earlier one goes with it."""
+    out, at, reach = [], 0, 0
+    for start, stop, kind in sorted(spans):
+        if start >= reach:
+            out += [text[max(at, reach) : start] if out else text[:start], f"[{kind.upper()}]"]
+        reach = max(reach, stop)
+    return "".join(out) + text[reach:]
+
+
+def slow_candidates_of(text):
+    """kind, start, stop, votes and traits of every candidate in plain Python, base ones first."""
+    found = [(kind, a, b, True) for kind, a, b in brute_base(text)]
+    more = [("local_phone", pii._LOCAL_PHONE), ("local_card", pii._LOCAL_CARD), ("account", pii._ACCOUNT), ("ssn", pii._SSN), ("name", pii._NAME)]
+    for kind, pattern in more:
+        for m in regex.finditer(pattern, text):
+            if kind == "local_card" and not luhn(re.sub("[^0-9]", "", m[0])):
+                continue
+            if not any(base and a < m.end() and m.start() < b for _, a, b, base in found):
+                found.append((kind, m.start(), m.end(), False))
+    out = []
+    for kind, a, b, base in found:
+        match = text[a:b]
+        strict = check_digits(match) if kind == "account" else bool(regex.search(pii._STRICT[kind], match))
+        before = re.sub(r"[ \t]{2,}", " ", text[:a])[-24:].lower()
+        if kind == "card":  # blanks that aren't between digits were replaced before
+            before = re.sub(r"(?<![0-9])[\x20-]|[\x20-](?![0-9])", "\x03", text)[:a][-24:].lower()
+        context = -1 if re.search(rf"(?:{pii.AGAINST})[^.!?\n]*\Z", before) else 1 if re.search(rf"(?:{pii.FOR})[^.!?\n]*\Z", before) else 0
+        touches = regex.search(r"[\p{L}0-9_/=#.]\Z", text[:a]) or regex.match(r"[\p{L}0-9_/=#]", text[b:])
+        signs = set(regex.findall(r"[\p{L}0-9]", match))
+        traits = min((b - a) // 8, 3) + 4 * min(len(signs) // 4, 3) + 16 * [0, 1, 2, 2, 3][min(len(found) - 1, 4)]
+        out.append((kind, a, b, base, (1 if strict else -1, gazetteer(kind, match), context, -1 if touches else 1), traits))
+    return out
+
+
+def check_digits(account):
+    packed = account.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1
+
+
+def gazetteer(kind, match):
+    one_of = lambda pattern, text: bool(re.match(rf"(?:{pattern})", text))
+    if kind == "email":
+        last = re.split("[@.]", match)[-1]
+        return 1 if last in pii.DOMAINS.split("|") else -1 if last in pii.RESERVED_DOMAINS.split("|") else 0
+    if kind == "ip":
+        return -1 if re.match(rf"(?:{pii.RESERVED_NETWORKS})\.", match) else 0
+    if kind in ("card", "local_card"):
+        return 1 if one_of(pii.ISSUERS, match) else -1
+    if kind == "phone":
+        return 1 if one_of(pii.COUNTRY_CODES, match[1:]) else -1
+    if kind == "local_phone":
+        area = match.lstrip("(")[:3]
+        return 1 if area in pii.AREA_CODES.split("|") else -1 if area in pii.FREE_CODES.split("|") or area[0] in "01" else 0
+    if kind == "account":
+        wanted = pii.ACCOUNT_LENGTHS.get(match[:2])
+        return 0 if wanted is None and len(match.replace(" ", "")) != wanted else 1 if len(match.replace(" ", "")) == wanted else -1
+    if kind == "ssn":
+        area = int(match[:3])
+        used = 0 < area < 734 and area != 666 or 750 <= area <= 772
+        return 1 if used and match not in pii.KNOWN_FAKES.split("|") else -1
+    name = match.split(" ")[1]
+    return 1 if name in pii.GIVEN_NAMES.split("|") else -1 if name in pii.NOT_NAMES.split("|") else 0
+
+
+def personal_texts(seed, n):
+    rnd = random.Random(seed)
+    bits = [
+        "Dr. Anna Lee", "Mr President", "Frau Ursula", "Mme Curie Sklodowska", "123-45-6789", "521-44-1234", "900-11-2222", "ssn ", "version ", "phone: ", "call ", " ", ", ", ". ", "\n",
+        "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR00 1234 5678 9012", "XX12 ABCD EFGH 1234 56", "(605) 555-9305", "800-555-1234", "212-555-0147", "+1 (269) 555-3296", "4111 1111 1111 1111",
+        "9 4078918989542222", "x@y.zz", "a.b@c.example", "ann@mail.com", "10.1.2.3", "127.0.0.1", "1.2.3.4.5", "page ", "word", "#", "=", "🎉", "é",
+    ]
+    return ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14))) for _ in range(n)]
+
+
+def test_all_spans_equal_brute_force(spark):
+    """Candidates, votes, weights and accepted spans, and the redaction made from them, in plain Python."""
+    texts = personal_texts(3, 700) + [" ".join(personal_texts(8, 60)), "1.2.3.4 " * 200 + "ann@mail.com " * 150]
+    rows = [(k, t, None) for k, t in enumerate(texts)]
+    want = {k: slow_candidates_of(t) for k, t in enumerate(texts)}
+    counts = {}
+    for found in want.values():
+        for kind, _, _, _, votes, traits in found:
+            counts[kind, votes, traits] = counts.get((kind, votes, traits), 0) + 1
+    theta = pii.classifier(sorted((*key, n) for key, n in counts.items()))
+    for found in pii.find(spark, make_docs(spark, rows)).collect():
+        text = texts[found.doc_id]
+        accepted = [c for c in want[found.doc_id] if c[3] or sum(w * x for w, x in zip(theta, pii._features(c[0], c[4], c[5]))) > 0]
+        got = [(c.kind, c.start, c.stop, c.base, (c.strict, c.gazetteer, c.context, c.neighbours), c.traits) for c in found.spans]
+        assert got == accepted, text
+        want[found.doc_id] = slow_redaction(text, [(a, b, kind) for kind, a, b, *_ in accepted])
+    assert {r.doc_id: r.text for r in pii.redact(spark, make_docs(spark, rows)).collect()} == want
+    seen = {(kind, vote) for kind, votes, _ in counts for vote in [votes[:2]] if kind in pii.MORE_KINDS}
+    assert len(seen) >= 12  # labelers do disagree
+    clashing = make_docs(spark, rows[:40]).selectExpr("*", "'x' as __tm_t", "'y' as found", "'z' as row")
+    assert {(r["__tm_t"], r.found, r.row) for r in pii.redact(spark, clashing).collect()} == {("x", "y", "z")}
+
+
 def test_personal_data_edges(spark, edge_docs, edge_rows, empty_docs):
     rows = pii.find(spark, edge_docs).collect()
     assert len(rows) == len(edge_rows)
@@ -210,7 +313,9 @@ def test_personal_data_edges(spark, edge_docs, edge_rows, empty_docs):
     assert sorted((r.doc_id or 0, base_of(r)) for r in rows if r.doc_id != 6) == want
     assert pii.find(spark, empty_docs).collect() == []
     clean = pii.redact(spark, edge_docs)
-    assert clean.columns == edge_docs.columns and clean.count() == len(edge_rows)
+    assert clean.columns == edge_docs.columns
+    spans = sorted((r.doc_id or 0, slow_redaction(t or "", [(c.start, c.stop, c.kind) for c in r.spans])) for r in rows for d, t, _ in edge_rows if d == r.doc_id and base_of(r) == brute_base_long(t or ""))
+    assert sorted({(r.doc_id or 0, r.text or "") for r in clean.collect()}) == sorted(set(spans))
     assert {r.text for r in clean.where("doc_id in (1, 2)").collect()} == {None, ""}
 
 

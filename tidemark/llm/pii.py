@@ -4,24 +4,27 @@ Base kinds (email, ip, card, phone) are found by their patterns and checks, and
 candidates (local phone numbers and card numbers that run into other digits, account numbers, social security
 numbers, names after a title) are reported only if a classifier accepts them. Every candidate gets the votes (yes, no, abstain) of four labelers:
 
-- strict: a narrower pattern of its kind;
-- gazetteer: a known top-level domain, country code, issuer digit, country or title;
-- context: words before it that announce, or speak against, personal data;
+- strict: a narrower form of its kind, for account numbers their check digits;
+- gazetteer: lists of top-level domains, reserved networks, issuers, country and area codes, lengths of account numbers by
+  country, ranges of social security numbers in use, given names, and words after a title that are no names;
+- context: words in the 24 characters before it that announce, or speak against, personal data;
 - neighbours: what touches it on either side.
 
-Counts of vote patterns over all documents are all that the fit needs, and there are at most a few thousand
+Counts of vote patterns over all documents are all that the fit needs, and there are at most some 46,000
 different ones, whatever the corpus. Expectation-maximisation on them estimates how reliable each labeler is and
-how likely each pattern is personal data; a logistic classifier over kind, votes and length is then trained on
-those posteriors, and its weights become a column expression.
+how likely each pattern is personal data; a logistic classifier over kind, votes and what no labeler knows (length, variety
+of characters, how many other candidates the text has) is then trained on those posteriors, and its weights become a
+column expression.
 
 Null text counts as empty and has no spans. Rows are judged one by one with the shared weights: repeated rows get
-equal results. Only (row, candidates) goes to the shared folder between the two steps, never texts. Extra columns
-are left alone by redact() and dropped by find().
+equal results. Patterns go over each text once: the rows are kept with their candidates in the shared folder, and the
+weights are applied to what was kept. Extra columns, whatever their names, are left alone by redact() and dropped by find().
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,10 +38,20 @@ MORE_KINDS = ("local_phone", "local_card", "account", "ssn", "name")
 KINDS = BASE_KINDS + MORE_KINDS
 VOTES = ("strict", "gazetteer", "context", "neighbours")
 
-# Gazetteers.
+# Gazetteers and context words.
 DOMAINS = "com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us|ch|at|nl|be|pl|br|mx|ar|ca|au|in|jp|cn"
+RESERVED_DOMAINS = "example|test|invalid|localhost|local"
+RESERVED_NETWORKS = r"0|127|255|192\.0\.2|198\.51\.100|203\.0\.113"
+ISSUERS = "4|5[1-5]|2[2-7]|3[47]|6011|65|64[4-9]|35|30[0-5]|36|38"
 TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Mme|Mlle|Sr|Sra|Don|Doña"
 COUNTRY_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+AREA_CODES = "201|202|203|205|206|207|208|209|210|212|213|214|215|216|217|224|225|228|229|231|234|239|240|248|251|252|253|254|256|260|262|267|269|270|276|281|301|302|303|304|305|307|308|309|310|312|313|314|315|316|317|318|319|321|323|334|336|337|339|347|351|352|360|361|386|401|402|404|405|406|407|408|409|410|412|413|414|415|417|419|423|425|432|434|435|440|443|469|478|479|480|484|501|502|503|504|505|507|508|509|510|512|513|515|516|517|518|520|530|540|541|551|559|561|562|563|570|571|573|574|580|585|586|601|602|603|605|606|607|608|609|610"
+FREE_CODES = "800|833|844|855|866|877|888|900"
+ACCOUNT_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24}
+USED_AREAS = r"00[1-9]|0[1-9][0-9]|[1-5][0-9]{2}|6[0-57-9][0-9]|66[0-57-9]|7[0-2][0-9]|73[0-3]|7[56][0-9]|77[0-2]"
+KNOWN_FAKES = "078-05-1120|219-09-9999|457-55-5462|123-45-6789|987-65-4320"
+GIVEN_NAMES = "Anna|Ana|Anne|Antonio|Barbara|Carlos|Carmen|Charles|Christian|Claire|Daniel|David|Elena|Elizabeth|Emma|Eva|Francisco|Hans|Hannah|Isabel|James|Jan|Jean|Jennifer|Johann|John|Jorge|Jose|José|Juan|Julia|Karl|Klaus|Laura|Linda|Louis|Lucas|Luis|Manuel|Marc|Maria|María|Marie|Mark|Martin|Mary|Michael|Michel|Miguel|Nicolas|Pablo|Patricia|Paul|Pedro|Peter|Philippe|Pierre|Richard|Robert|Sarah|Sofia|Sophie|Stefan|Susan|Thomas|Ursula|William|Wolfgang"
+NOT_NAMES = "President|Speaker|Chairman|Minister|Secretary|Ambassador|Director|Mayor|Doctor|Professor|Präsident|Minister|Direktor|Président|Ministre|Directeur|Presidente|Ministro|Director|Who|No|Right|Wrong"
 FOR = "mail|contact|phone|tel|call|fax|mobile|card|visa|account|iban|ssn|social|name|address|addr|write to|reach|correo|kontakt|adresse|nom|nombre"
 AGAINST = "version|ver\\.|v\\.|isbn|issn|order|invoice|build|release|section|chapter|page|total|sum|sha|md5|hash|commit"
 
@@ -55,7 +68,9 @@ _ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _NAME = rf"(?<![\p{{L}}0-9])(?:{TITLES})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
 
-CANDIDATES = "array<struct<kind:string,start:int,stop:int,base:boolean,strict:int,gazetteer:int,context:int,neighbours:int,size:int>>"
+CANDIDATES = "array<struct<kind:string,start:int,stop:int,base:boolean,strict:int,gazetteer:int,context:int,neighbours:int,traits:int>>"
+#: Characters of the shortest match of any kind; spans in a block.
+_LEAST, _BLOCK = 5, 64
 
 
 def _digits(match: Column) -> Column:
@@ -91,38 +106,67 @@ _STRICT = {
     "phone": r"^\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}$",
     "local_phone": r"^(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}-)[2-9][0-9]{2}-[0-9]{4}$",
     "local_card": r"^(?:[0-9]{16}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4})$",
-    "account": r"^[A-Z]{2}[0-9]{2} ?[0-9A-Z ]{11,36}$",
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
     "name": r"^\p{Lu}[\p{L}]*\.? \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$",
 }
-_KNOWN = {
-    "email": rf"\.(?:{DOMAINS})$",
-    "ip": r"^(?!0|255)",
-    "card": r"^[3-6]",
-    "phone": rf"^\+(?:{COUNTRY_CODES})",
-    "local_phone": r"^\(?[2-9]",
-    "local_card": r"^[3-6]",
-    "account": r"^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)",
-    "ssn": r"^[0-8]",
-    "name": rf"^(?:{TITLES})\.? ",
+
+
+def _checked(match: Column) -> Column:
+    """Whether the check digits of an account number are right: its remainder by 97, the first four characters last, is 1."""
+    packed = F.replace(match, F.lit(" "), F.lit(""))
+    turned = F.split(F.concat(F.substring(packed, F.lit(5), F.length(packed)), F.left(packed, F.lit(4))), "")
+    worth = lambda sign: F.when(sign.between("0", "9"), sign.try_cast("int")).otherwise(F.ascii(sign) - 55)
+    step = lambda rest, n: (rest * F.when(n > 9, 100).otherwise(10) + n) % 97
+    return F.aggregate(F.transform(F.filter(turned, lambda sign: sign != ""), worth), F.lit(0), step) == 1
+
+
+def _vote(yes: str | None, no: str | None) -> Callable[[Column], Column]:
+    """1 where the match is of the yes pattern, else -1 where it is of the no pattern, else 0."""
+
+    def vote(match: Column) -> Column:
+        out = F.when(F.regexp_like(match, F.lit(yes)), 1) if yes else F.when(F.lit(False), 1)
+        return (out.when(F.regexp_like(match, F.lit(no)), -1) if no else out).otherwise(0)
+
+    return vote
+
+
+def _account_vote(match: Column) -> Column:
+    lengths = F.create_map(*(F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair))
+    wanted = F.element_at(lengths, F.left(match, F.lit(2)))
+    return F.when(F.length(F.replace(match, F.lit(" "), F.lit(""))) == wanted, 1).when(wanted.isNotNull(), -1).otherwise(0)
+
+
+_ISSUER = _vote(rf"^(?:{ISSUERS})", ".")
+_KNOWN: dict[str, Callable[[Column], Column]] = {
+    "email": _vote(rf"\.(?:{DOMAINS})$", rf"[@.](?:{RESERVED_DOMAINS})$"),
+    "ip": _vote(None, rf"^(?:{RESERVED_NETWORKS})\."),
+    "card": _ISSUER,
+    "phone": _vote(rf"^\+(?:{COUNTRY_CODES})", "."),
+    "local_phone": _vote(rf"^\(?(?:{AREA_CODES})", rf"^\(?(?:{FREE_CODES}|[01])"),
+    "local_card": _ISSUER,
+    "account": _account_vote,
+    "ssn": lambda match: F.when(match.isin(*KNOWN_FAKES.split("|")), -1).otherwise(_vote(rf"^(?:{USED_AREAS})-", ".")(match)),
+    "name": _vote(rf"^\p{{L}}+\.? (?:{GIVEN_NAMES})(?:$| )", rf"^\p{{L}}+\.? (?:{NOT_NAMES})(?:$| )"),
 }
 
 
 def _candidate(kind: str, span: Column, base: Column) -> Column:
     match, before = span["match"], F.lower(span["before"])
     yes_no = lambda test: F.when(test, 1).otherwise(-1)
-    touching = F.regexp_like(span["before"], F.lit(r"[\p{L}0-9_/=#.]$")) | F.regexp_like(span["after"], F.lit(r"^[\p{L}0-9_/=#]"))
-    context = F.when(F.regexp_like(before, F.lit(rf"(?:{AGAINST})[^.!?\n]*$")), -1).when(F.regexp_like(before, F.lit(rf"(?:{FOR})[^.!?\n]*$")), 1).otherwise(0)
+    touching = F.regexp_like(span["before"], F.lit(r"[\p{L}0-9_/=#.]\z")) | F.regexp_like(span["after"], F.lit(r"^[\p{L}0-9_/=#]"))
+    context = F.when(F.regexp_like(before, F.lit(rf"(?:{AGAINST})[^.!?\n]*\z")), -1).when(F.regexp_like(before, F.lit(rf"(?:{FOR})[^.!?\n]*\z")), 1).otherwise(0)
+    size = F.least(F.floor(F.length(match) / 8), F.lit(3))
+    variety = F.least(F.floor(F.size(F.array_distinct(F.split(F.regexp_replace(match, r"[^\p{L}0-9]", ""), ""))) / 4), F.lit(3))
     return F.struct(
         F.lit(kind).alias("kind"),
         span["start"].alias("start"),
         span["stop"].alias("stop"),
         base.alias("base"),
-        yes_no(F.regexp_like(match, F.lit(_STRICT[kind]))).alias("strict"),
-        F.when(F.regexp_like(match, F.lit(_KNOWN[kind])), 1).otherwise(0).alias("gazetteer"),
+        yes_no(_checked(match) if kind == "account" else F.regexp_like(match, F.lit(_STRICT[kind]))).alias("strict"),
+        _KNOWN[kind](match).alias("gazetteer"),
         context.alias("context"),
         yes_no(~touching).alias("neighbours"),
-        F.least(F.floor(F.length(match) / 8), F.lit(3)).cast("int").alias("size"),
+        (size + 4 * variety).cast("int").alias("traits"),
     )
 
 
@@ -135,7 +179,11 @@ def _valid(kind: str):
 
 
 def with_candidates(df: DataFrame, text: str, out: str) -> DataFrame:
-    """df with an array of candidates with votes, by kind and start. Column names that begin with __tm_ are in use here."""
+    """df with an array of candidates with votes, by kind and start. Column names that begin with __tm_ are in use here.
+
+    traits: length in eights (0 to 3), plus 4 times the different letters and digits in fours (0 to 3), plus 16 times the
+    other candidates of the text (none, one, two or three, more).
+    """
     marked = F.regexp_replace("__tm_t", rf"(?<=[{_LABEL}])\.(?=[{_LABEL}])", MARK)
     chained = F.regexp_replace("__tm_t", r"(?<![0-9])[\x20-]|[\x20-](?![0-9])", "\x03")
     df = df.withColumn("__tm_t", plain(F.col(text)))
@@ -155,21 +203,24 @@ def with_candidates(df: DataFrame, text: str, out: str) -> DataFrame:
         "name": (F.col("__tm_t"), _NAME),
     }
     names = {kind: f"__tm_{kind}_found" for kind in KINDS}
-    df = with_spans(df, {names[kind]: patterns[kind] for kind in KINDS}, 5)
-    df = df.withColumn(names["email"], F.transform(names["email"], lambda s: s.withField("match", F.translate(s["match"], MARK, "."))))
+    df = with_spans(df, {names[kind]: patterns[kind] for kind in KINDS}, _LEAST)
+    df = df.withColumn(names["email"], F.transform(names["email"], lambda s: s.withField("match", F.translate(s["match"], MARK, ".")).withField("before", F.translate(s["before"], MARK, "."))))
     df = df.withColumns({names[kind]: F.filter(names[kind], _valid(kind)) for kind in _VALID})
     df = df.withColumn("__tm_base", F.concat(*(F.transform(names[kind], _candidates(kind, True)) for kind in BASE_KINDS)))
     free = lambda s: ~F.exists("__tm_base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     more = [F.transform(F.filter(names[kind], free), _candidates(kind, False)) for kind in MORE_KINDS]
-    df = df.withColumn(out, F.concat("__tm_base", *more).cast(CANDIDATES))
-    return df.drop("__tm_t", "__tm_digit", "__tm_mail_t", "__tm_num", "__tm_chain", "__tm_base", *names.values())
+    df = df.withColumn("__tm_all", F.concat("__tm_base", *more))
+    others = F.size("__tm_all") - 1
+    company = F.when(others < 2, others).when(others < 4, 2).otherwise(3)
+    df = df.withColumn(out, F.transform("__tm_all", lambda c: c.withField("traits", c["traits"] + 16 * company)).cast(CANDIDATES))
+    return df.drop("__tm_all", "__tm_t", "__tm_digit", "__tm_mail_t", "__tm_num", "__tm_chain", "__tm_base", *names.values())
 
 
 def vote_counts(candidates: DataFrame, column: str) -> list[tuple[str, tuple[int, ...], int, int]]:
-    """(kind, votes, size, count) for each pattern; at most 8 kinds * 3**4 votes * 4 sizes."""
+    """(kind, votes, traits, count) for each pattern; at most 9 kinds * 3**4 votes * 64 traits."""
     one = candidates.select(F.explode(column).alias("c"))
-    rows = one.groupBy(*(F.col(f"c.{name}").alias(name) for name in ("kind", *VOTES, "size"))).agg(F.count("*").alias("n")).collect()
-    return sorted((row.kind, tuple(row[name] for name in VOTES), row["size"], row.n) for row in rows)
+    rows = one.groupBy(*(F.col(f"c.{name}").alias(name) for name in ("kind", *VOTES, "traits"))).agg(F.count("*").alias("n")).collect()
+    return sorted((row.kind, tuple(row[name] for name in VOTES), row["traits"], row.n) for row in rows)
 
 
 def reliabilities(counts: list[tuple[str, tuple[int, ...], int, int]], rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
@@ -195,14 +246,14 @@ def reliabilities(counts: list[tuple[str, tuple[int, ...], int, int]], rounds: i
     return chance, posterior
 
 
-def _features(kind: str, votes: tuple[int, ...], size: int) -> list[float]:
-    return [1.0, *(float(kind == k) for k in KINDS), *(float(vote == v) for vote in votes for v in (-1, 1)), size / 3]
+def _features(kind: str, votes: tuple[int, ...], traits: int) -> list[float]:
+    return [1.0, *(float(kind == k) for k in KINDS), *(float(vote == v) for vote in votes for v in (-1, 1)), *((traits >> shift & 3) / 3 for shift in (0, 2, 4))]
 
 
 def classifier(counts: list[tuple[str, tuple[int, ...], int, int]], ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
     """Weights of a logistic classifier over _features(), trained on the posteriors of reliabilities() by Newton steps."""
     _, posterior = reliabilities(counts)
-    x = np.array([_features(kind, votes, size) for kind, votes, size, _ in counts])
+    x = np.array([_features(kind, votes, traits) for kind, votes, traits, _ in counts])
     # Counts enter by their logarithm, so one frequent pattern doesn't drown the others.
     weight = np.log1p(np.array([n for *_, n in counts], float))
     theta = np.zeros(x.shape[1])
@@ -219,7 +270,9 @@ def classifier(counts: list[tuple[str, tuple[int, ...], int, int]], ridge: float
 def _score(c: Column, theta: np.ndarray) -> Column:
     """The classifier's linear score of a candidate as a column."""
     w = [float(x) for x in theta]
-    total = F.lit(w[0]) + c["size"] * F.lit(w[-1] / 3)
+    total = F.lit(w[0])
+    for shift, weight in zip((0, 2, 4), w[-3:]):
+        total = total + F.shiftright(c["traits"], shift).bitwiseAND(3) * F.lit(weight / 3)
     for k, kind in enumerate(KINDS):
         total = total + F.when(c["kind"] == kind, F.lit(w[1 + k])).otherwise(0.0)
     for k, name in enumerate(VOTES):
@@ -255,29 +308,35 @@ def joined(spans: Column) -> Column:
 def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with each span replaced by its kind in brackets; overlapping spans become one replacement.
 
-    The weights are fitted on candidates of all of docs; the texts are then read a second time, row by row, so no
-    key is needed and repeated or null ids don't matter.
+    The rows are kept once, as they are and with their candidates; the weights are fitted on these and applied to them,
+    so no key is needed, repeated or null ids don't matter, and no pattern goes over a text twice.
     """
-    stored = Scratch(spark).keep(with_candidates(docs.select(F.col(text).alias("text")), "text", "candidates").select("candidates"))
-    theta = fit(stored, "candidates")
-    out = with_candidates(docs, text, "__tm_found").withColumn("__tm_spans", F.array_sort(F.transform(accepted("__tm_found", theta), lambda c: F.struct(c["start"], c["stop"], c["kind"]))))
-    # A span that begins before the end of an earlier one is left out; its tail goes with the earlier one's reach.
-    reach = F.transform("__tm_spans", lambda c, k: F.struct(c["start"].alias("start"), F.array_max(F.transform(F.slice("__tm_spans", 1, k + 1), lambda e: e["stop"])).alias("stop"), c["kind"].alias("kind")))
-    out = out.withColumn("__tm_reach", reach)
-    heads = F.filter("__tm_reach", lambda c, k: (k == 0) | (F.get("__tm_reach", k - 1)["stop"] <= c["start"]))
-    out = out.withColumn("__tm_heads", heads)
-    ends = F.transform("__tm_heads", lambda c, k: F.coalesce(F.array_max(F.transform(F.filter("__tm_reach", lambda e: (e["start"] >= c["start"]) & ((k + 1 >= F.size("__tm_heads")) | (e["start"] < F.get("__tm_heads", k + 1)["start"]))), lambda e: e["stop"])), c["stop"]))
-    out = out.withColumn("__tm_ends", ends)
-    body = F.col(text)
+    picked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("body"))
+    stored = Scratch(spark).keep(with_candidates(picked, "body", "found").select("row", "found"))
+    found = F.array_sort(F.transform(accepted("found", fit(stored, "found")), lambda c: F.struct(c["start"], c["stop"], c["kind"])))
+    out = stored.select("row", F.col("row")[text].alias("body"), found.alias("spans"))
+    # A span that begins before the end of an earlier one goes into the replacement of that one. before: how far the
+    # spans before each reach, by blocks, so that a text with many spans costs little more than their number.
+    out = out.withColumn("stops", F.transform("spans", lambda c: c["stop"]))
+    blocks = F.sequence(F.lit(0), F.floor((F.size("spans") - 1) / _BLOCK).cast("int"))
+    out = out.withColumn("tops", F.when(F.size("spans") > 0, F.transform(blocks, lambda b: F.array_max(F.slice("stops", b * _BLOCK + 1, _BLOCK)))))
+    out = out.withColumn("tops", F.transform("tops", lambda _, b: F.coalesce(F.array_max(F.slice("tops", F.lit(1), b)), F.lit(0))))
+    here = lambda k: F.coalesce(F.array_max(F.slice("stops", F.floor(k / _BLOCK).cast("int") * _BLOCK + 1, k % _BLOCK)), F.lit(0))
+    out = out.withColumn("before", F.transform("spans", lambda _, k: F.greatest(F.get("tops", F.floor(k / _BLOCK).cast("int")), here(k))))
+    numbered = F.transform("spans", lambda c, k: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), k.alias("k")))
+    out = out.withColumn("heads", F.filter(numbered, lambda c: F.get("before", c["k"]) <= c["start"]))
+    stop = lambda j: F.when(j + 1 < F.size("heads"), F.get("before", F.get("heads", j + 1)["k"])).otherwise(F.array_max("stops"))
+    out = out.withColumn("places", F.transform("heads", lambda c, j: F.struct(c["start"].alias("start"), stop(j).alias("stop"), c["kind"].alias("kind"))))
+    body = F.col("body")
     pieces = F.transform(
-        "__tm_heads",
+        "places",
         lambda c, k: F.concat(
-            F.substring(body, F.when(k == 0, 1).otherwise(F.get("__tm_ends", k - 1) + 1), c["start"] - F.when(k == 0, 0).otherwise(F.get("__tm_ends", k - 1))),
+            F.substring(body, F.when(k == 0, 1).otherwise(F.get("places", k - 1)["stop"] + 1), c["start"] - F.when(k == 0, 0).otherwise(F.get("places", k - 1)["stop"])),
             F.lit("["),
             F.upper(c["kind"]),
             F.lit("]"),
         ),
     )
-    tail = F.substring(body, F.get("__tm_ends", F.size("__tm_ends") - 1) + 1, F.length(body))
-    clean = F.when(F.size("__tm_heads") > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(body)
-    return out.withColumn(text, clean).drop("__tm_found", "__tm_spans", "__tm_reach", "__tm_heads", "__tm_ends")
+    tail = F.substring(body, F.get("places", F.size("places") - 1)["stop"] + 1, F.length(body))
+    clean = F.when(F.size("places") > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(body)
+    return out.withColumn("clean", clean).select(*((F.col("clean") if c == text else F.col("row")[c]).alias(c) for c in docs.columns))
