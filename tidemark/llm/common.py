@@ -65,7 +65,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_root(spark)}/{uuid.uuid4().hex}"
         self._count = 0
-        self._paths: dict[int, str] = {}
+        #: Each table with its path; holding the tables keeps their ids from being given to others.
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def _fs(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -80,15 +81,15 @@ class Scratch:
         path = f"{self.root}/{self._count}"
         df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        self._paths[id(out)] = out, path
         return out
 
     def drop(self, *frames: DataFrame) -> None:
         """Remove tables that no later plan reads, and let go of plans that Python holds in cycles, and so their shuffles."""
         gc.collect()
         for df in frames:
-            if path := self._paths.pop(id(df), None):
-                fs, hadoop = self._fs(path)
+            if kept := self._paths.pop(id(df), None):
+                fs, hadoop = self._fs(kept[1])
                 fs.delete(hadoop, True)
 
 

@@ -10,12 +10,17 @@ Texts are compared by their sets of five-word shingles; a link is a Jaccard simi
    of bounded size. A comparison goes through the MinHash values 16 at a time: with a uniform prior, m equal ones of
    n make the similarity Beta(m + 1, n - m + 1); the pair is dropped once the chance that it is 0.8 or more is
    below the tolerance.
-4. Pairs that are left connect nodes to clusters. In each cluster all pairs are verified exactly from the shingle
-   sets, in blocks of bounded size by matrix products that give only counts and one link per node, not the pairs.
+4. Pairs that are left connect nodes to clusters. In each cluster all pairs are verified exactly. Every node is
+   compared with the cluster's first: how many shingles differ from it. Two sets differ by the sum of these numbers at
+   most, so nodes close enough to the first are sure to be linked with each other; their links are counted from
+   sorted numbers alone, without a look at the pairs. All other pairs are verified from the shingles in which the
+   nodes differ from the first, in blocks of bounded size by matrix products that give only counts and one link per
+   node, not the pairs.
 5. Verified links connect nodes to classes.
 
-A large group of copies thus costs a row per node and bucket, and its pairs only arithmetic. Nothing is dropped for
-being frequent: a large bucket is cut into blocks, and every pair of blocks is looked at.
+A large group of near copies thus costs a row per node and bucket; only nodes far from the first meet block by block,
+and then with what makes them differ. Nothing is dropped for being frequent: a large bucket is cut into blocks, and
+every pair of blocks is looked at.
 
 Words are runs of other characters than ASCII white space. A text of one to four words has one shingle, all of them.
 Null texts and texts without words have none and link to nothing. Rows with null doc_id take part like any other;
@@ -31,7 +36,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, apart, cells, in_batches, map_arrow
@@ -205,20 +210,61 @@ def _intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray
     return out
 
 
+_SHINGLED = pa.schema([("cluster", pa.binary()), ("node", pa.binary()), ("copies", pa.int64()), ("shingles", pa.binary())])
+
+
+def _reshingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows():
+        for batch in batches:
+            for cluster, node, copies, text in cells(batch, "cluster", "node", "copies", "text"):
+                found = shingles(text)
+                if xxhash.xxh3_128_digest(found) == node:
+                    yield cluster, node, copies, found.tobytes()
+
+    return in_batches(rows(), _SHINGLED)
+
+
+_PLACED = pa.schema([("cluster", pa.binary()), ("node", pa.binary()), ("copies", pa.int64()), ("size", pa.int64()), ("slack", pa.int64()), ("unlike", pa.binary())])
+
+
+def _compare_with_first(batches: Iterator[pa.RecordBatch], threshold_tenths: int) -> Iterator[pa.RecordBatch]:
+    """The shingles that a node has and the cluster's first hasn't, or the other way round, and the node's slack.
+
+    Sets of sizes a and b that differ in d shingles are linked if (10 - t) * (a + b) >= (10 + t) * d, with t the
+    threshold in tenths. A node's slack is its share of that, so that two nodes whose slacks add up to 0 or more are linked.
+    """
+    far, near = 10 + threshold_tenths, 10 - threshold_tenths
+
+    def rows():
+        for batch in batches:
+            for cluster, node, copies, packed, first in cells(batch, "cluster", "node", "copies", "shingles", "first", step=64):
+                found = np.frombuffer(packed, np.uint64)
+                unlike = np.setxor1d(found, np.frombuffer(first, np.uint64), assume_unique=True)
+                yield cluster, node, copies, len(found), near * len(found) - far * len(unlike), unlike.tobytes()
+
+    return in_batches(rows(), _PLACED)
+
+
 _VERIFIED = pa.schema([("node", pa.binary()), ("least", pa.binary()), ("links", pa.int64())])
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold_tenths: int) -> Iterator[pa.RecordBatch]:
-    """For each node of a pair of blocks: how many documents it links to there, and the smallest node it is connected with."""
+    """For each node of a pair of blocks: how many documents it links to there, and the smallest node it is connected with.
+
+    Pairs whose slacks add up to 0 or more are counted elsewhere.
+    """
+    far, near = 10 + threshold_tenths, 10 - threshold_tenths
 
     def rows():
-        for (_, i, j), held in _groups(batches, ("cluster", "i", "j"), ("x", "node", "copies", "shingles")):
-            x, nodes, copies, packed = zip(*held)
+        for (_, i, j), held in _groups(batches, ("cluster", "i", "j"), ("block", "node", "copies", "size", "slack", "unlike")):
+            if len(held) < 2:
+                continue
+            x, nodes, copies, sizes, slacks, packed = zip(*held)
             sets = [np.frombuffer(s, np.uint64) for s in packed]
-            x, copies, sizes = np.array(x), np.array(copies), np.array([len(s) for s in sets])
+            x, copies, sizes, slacks, apart_by = np.array(x), np.array(copies), np.array(sizes), np.array(slacks), np.array([len(s) for s in sets])
             at, to = np.flatnonzero(x == i), np.flatnonzero(x == j)
-            common = _intersections(sets, at, to)
-            linked = 10 * common >= threshold_tenths * (sizes[at][:, None] + sizes[to][None, :] - common)
+            differ = apart_by[at][:, None] + apart_by[to][None, :] - 2 * _intersections(sets, at, to)
+            linked = (near * (sizes[at][:, None] + sizes[to][None, :]) >= far * differ) & (slacks[at][:, None] + slacks[to][None, :] < 0)
             if i == j:
                 np.fill_diagonal(linked, False)
             links = np.zeros(len(nodes), np.int64)
@@ -245,20 +291,6 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold_tenths: int) -> Iterato
     return in_batches(rows(), _VERIFIED)
 
 
-_SHINGLED = pa.schema([("cluster", pa.binary()), ("node", pa.binary()), ("blocks", pa.int32()), ("copies", pa.int64()), ("shingles", pa.binary())])
-
-
-def _reshingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
-        for batch in batches:
-            for cluster, node, blocks, copies, text in cells(batch, "cluster", "node", "blocks", "copies", "text"):
-                found = shingles(text)
-                if xxhash.xxh3_128_digest(found) == node:
-                    yield cluster, node, blocks, copies, found.tobytes()
-
-    return in_batches(rows(), _SHINGLED)
-
-
 def _block_pairs(df: DataFrame, blocks: str) -> DataFrame:
     """Each row once for each pair of blocks (i <= j) that its block x is in."""
     other = F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)).alias("y")
@@ -314,19 +346,52 @@ def _nodes(signed: DataFrame) -> DataFrame:
     return owners.join(signed.groupBy("node").agg(F.first("size").alias("size"), F.first("sig").alias("sig")), "node")
 
 
+def _by_slack(values: DataFrame) -> DataFrame:
+    """values (cluster, slack, n, m documents, w shingles) with `sure`, the documents whose slack makes up for the row's, `top`, the
+    cluster's largest slack, and where nodes of the row go: from block `g` on, dealt to `parts` blocks.
+
+    A cluster meets in one task here with a row for each slack, which are as many as its texts have sizes, not nodes.
+    """
+    asked = values.select("cluster", (-F.col("slack")).alias("at"), F.lit(0).cast("bigint").alias("m"), F.lit(1).alias("asks"))
+    told = values.select("cluster", F.col("slack").alias("at"), "m", F.lit(0).alias("asks"))
+    down = Window.partitionBy("cluster").orderBy(F.desc("at"), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    sure = told.union(asked).withColumn("sure", F.sum("m").over(down)).where("asks = 1").select("cluster", (-F.col("at")).alias("slack"), "sure")
+    above = Window.partitionBy("cluster").orderBy(F.desc("slack")).rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("n").over(above), F.lit(0)) / CLUSTER_BLOCK + F.coalesce(F.sum("w").over(above), F.lit(0)) / CLUSTER_SHINGLES
+    parts = F.ceil(F.greatest(F.col("n") / CLUSTER_BLOCK, F.col("w") / CLUSTER_SHINGLES, F.lit(1.0)))
+    dealt = values.select("cluster", "slack", F.max("slack").over(Window.partitionBy("cluster")).alias("top"), F.floor(filled).alias("g"), parts.alias("parts"))
+    return dealt.join(sure, ["cluster", "slack"])
+
+
 def _verified(scratch: Scratch, docs: DataFrame, nodes: DataFrame, clusters: DataFrame, threshold_tenths: int) -> DataFrame:
     """Links and a connection for each node that has any, from the shingle sets of all nodes in clusters."""
     clustered = clusters.union(clusters.select(F.col("v").alias("u"), "v")).distinct().select(F.col("u").alias("node"), F.col("v").alias("cluster"))
-    needed = scratch.keep(clustered.join(nodes.select("node", "copies", "doc", "size"), "node"))
-    blocks = F.ceil(F.greatest(F.count("*") / CLUSTER_BLOCK, F.sum("size") / CLUSTER_SHINGLES)).cast("int")
-    sized = needed.join(apart(needed.groupBy("cluster").agg(blocks.alias("blocks"))), "cluster")
-    places = sized.select("cluster", "node", "blocks", "copies", F.col("doc.doc_id").alias("d"), F.col("doc.h").alias("dh"))
+    places = clustered.join(nodes.select("node", "copies", "doc"), "node").select("cluster", "node", "copies", F.col("doc.doc_id").alias("d"), F.col("doc.h").alias("dh"))
     # The texts meet their places by sorting at every size, so the plan doesn't depend on an estimate.
-    texts = docs.join(places.hint("merge"), docs["doc_id"].eqNullSafe(places["d"]) & (docs["h"] == places["dh"])).select("cluster", "node", "blocks", "copies", "text")
-    sets = scratch.keep(texts.transform(map_arrow, _reshingle, "cluster binary, node binary, blocks int, copies bigint, shingles binary").dropDuplicates(["node"]))
-    paired = _block_pairs(sets, "blocks").select("cluster", "i", "j", "x", "node", "copies", "shingles").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    found = scratch.keep(paired.transform(map_arrow, partial(_verify, threshold_tenths=threshold_tenths), "node binary, least binary, links bigint"))
-    scratch.drop(needed, sets)
+    texts = docs.join(places.hint("merge"), docs["doc_id"].eqNullSafe(places["d"]) & (docs["h"] == places["dh"])).select("cluster", "node", "copies", "text")
+    sets = scratch.keep(texts.transform(map_arrow, _reshingle, "cluster binary, node binary, copies bigint, shingles binary").dropDuplicates(["node"]))
+    firsts = sets.where("node = cluster").select("cluster", F.col("shingles").alias("first"))
+    compared = sets.join(firsts.hint("merge"), "cluster").transform(
+        map_arrow, partial(_compare_with_first, threshold_tenths=threshold_tenths), "cluster binary, node binary, copies bigint, size bigint, slack bigint, unlike binary"
+    )
+    compared = scratch.keep(compared)
+    values = scratch.keep(compared.groupBy("cluster", "slack").agg(F.count("*").alias("n"), F.sum("copies").alias("m"), F.sum(F.octet_length("unlike") / 8).alias("w")))
+    block = F.shiftleft(F.col("g").cast("bigint"), 24) + F.pmod(F.xxhash64("node"), F.col("parts"))
+    placed = scratch.keep(compared.join(apart(_by_slack(values)), ["cluster", "slack"]).withColumn("block", block).drop("g", "parts"))
+
+    # Sure links all lead to the node with the largest slack, so that one connects them.
+    hubs = placed.where("slack = top").groupBy("cluster").agg(F.min("node").alias("hub"))
+    others = F.col("sure") - F.when(F.col("slack") >= 0, F.col("copies")).otherwise(0)
+    sure = placed.select("cluster", "node", others.alias("links")).where("links > 0").join(apart(hubs), "cluster").select("node", F.col("hub").alias("least"), "links")
+
+    lows = placed.groupBy("cluster", "block").agg(F.min("slack").alias("low"))
+    left, right = (lows.select("cluster", F.col("block").alias(x), F.col("low").alias(f"low_{x}")) for x in "ij")
+    open_pairs = left.join(right, "cluster").where("i <= j and low_i + low_j < 0")
+    sides = open_pairs.select("cluster", F.col("i").alias("block"), "i", "j", F.col("low_j").alias("low")).union(open_pairs.where("i < j").select("cluster", F.col("j").alias("block"), "i", "j", F.col("low_i").alias("low")))
+    paired = placed.join(apart(sides), ["cluster", "block"]).where("slack + low < 0").select("cluster", "i", "j", "block", "node", "copies", "size", "slack", "unlike")
+    paired = paired.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    found = scratch.keep(sure.union(paired.transform(map_arrow, partial(_verify, threshold_tenths=threshold_tenths), "node binary, least binary, links bigint")))
+    scratch.drop(sets, compared, values, placed)
     return found
 
 
