@@ -52,6 +52,86 @@ def test_language_edges(spark, edge_docs, empty_docs):
     assert {row.score for row in kept} == {"x"}  # the input's own column
 
 
+def slow_grams(text):
+    """Counts of hashed 1- to 3-grams with plain integers."""
+    letters = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower())
+    if not letters.strip(" "):
+        return None
+    points = [ord(c) for c in " " + re.sub(" +", " ", letters).lstrip(" ") + " "]
+    wrap, counts = 0xFFFFFFFF, [0] * language.DIMS
+    pairs = [(a * 0x9E3779B1 + b) & wrap for a, b in zip(points, points[1:])]
+    triples = [(a * 0x85EBCA6B + c) & wrap for a, c in zip(pairs, points[2:])]
+    for salt, grams in ((1, points[1:-1]), (2, pairs), (3, triples)):
+        for gram in grams:
+            mixed = ((gram ^ (salt * 0x27D4EB2F & wrap)) * 0xC2B2AE35) & wrap
+            mixed ^= mixed >> 15
+            counts[((mixed * 0x165667B1) & wrap) >> 20] += 1
+    return counts
+
+
+def slow_unit(vector):
+    length = sum(x * x for x in vector) ** 0.5
+    return [x / length for x in vector] if length else vector
+
+
+def test_language_equals_brute_force(spark):
+    """Vectors, centroids, cosines and rejections in plain Python."""
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").limit(60)
+    rows = [(r.doc_id, r.text[:4000], r.lang) for r in docs.collect()]
+    rows += [(10**6, rows[0][1], rows[0][2])] * 30 + [(10**6 + 1, "", "en"), (10**6 + 2, "123 !", "fr"), (10**6 + 3, "Ünïcödé  x", None)]
+    frame = make_docs(spark, rows)
+    model = language.fit(frame, per_language=2, sample_rows=10**6)
+    training = [(d, t, lang) for d, t, lang in rows if zlib.crc32(str(d).encode()) % 4 != 2 and lang and t is not None]
+    grams = {t: slow_grams(t) for _, t, _ in rows}
+    for text, counts in grams.items():
+        found = language.gram_counts(text)
+        assert (found is None) == (counts is None) and (counts is None or found.tolist() == counts)
+    counted = [(d, t, lang) for d, t, lang in training if grams[t]]
+    frequency = [sum(grams[t][k] > 0 for _, t, _ in counted) for k in range(language.DIMS)]
+    idf = [float(np.log((1 + len(counted)) / (1 + f)) + 1) for f in frequency]
+    assert model.idf.tolist() == pytest.approx(idf, rel=1e-5)
+    vector = {t: slow_unit([float(np.log1p(n)) * w for n, w in zip(counts, idf)]) for t, counts in grams.items() if counts}
+    dot = lambda a, b: float(np.dot(a, b))
+    names, centres = [], []
+    for lang in sorted({lang for *_, lang in counted}):
+        firsts = {}
+        for d, t, other in counted:
+            if other == lang:
+                firsts[t] = min(d, firsts.get(t, d))
+        points = [vector[t] for t, _ in sorted(firsts.items(), key=lambda item: item[1])]
+        found = [slow_unit(np.mean(points, axis=0).tolist())]
+        while len(found) < min(2, len(points)):
+            found.append(min(points, key=lambda p: max(dot(p, c) for c in found)))
+        for _ in range(12):
+            member = [max(range(len(found)), key=lambda k: dot(p, found[k])) for p in points]
+            moved = [slow_unit(np.sum([p for p, m in zip(points, member) if m == k], axis=0).tolist()) if k in member else found[k] for k in range(len(found))]
+            done = np.allclose(moved, found)
+            if done:
+                break
+            found = moved
+        names += [lang] * len(found)
+        centres += found
+    assert model.languages == names and np.allclose(model.matrix, centres, atol=2e-3)
+    for row in language.predict(frame, model).collect():
+        counts = grams[row.text]
+        if counts is None:
+            assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+            continue
+        cosines = [dot(vector[row.text], c) for c in model.matrix.tolist()]
+        assert row.score == pytest.approx(max(0.0, min(1.0, max(cosines))), abs=1e-4)
+        assert max(c for c, name in zip(cosines, names) if name == row.lang_pred) >= max(cosines) - 1e-4
+        limit = model.thresholds[int(np.log2(sum(counts)))]
+        assert row.rejected == (row.score <= 0 or row.score < limit) or abs(row.score - limit) < 1e-4
+
+
+def test_language_bounds(spark):
+    rows = [(k, f"text number {k} of many", f"l{k}") for k in range(40)]
+    with pytest.raises(ValueError, match="more than 8"):
+        language.fit(make_docs(spark, rows), most_languages=8)
+    assert language.predict(make_docs(spark, rows), language.fit(make_docs(spark, rows))).count() == 40
+
+
 def brute_quality(text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
     windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]

@@ -9,8 +9,10 @@ Rejection: for each size class of texts (the power of two of their n-grams) the
 give a threshold; a text below half of them is far from every centroid and rejected.
 
 Document frequencies, language counts and thresholds cover all training rows; the thresholds come from counts of rows
-by size class and cosine, in steps of 1 / 4096. Centroids are fitted on a sample of about `sample_rows` training rows
-(chosen by a hash of doc_id, an equal share for each language), the one bound here.
+by size class and cosine, in steps of 1 / 4096. Centroids are fitted on a sample of about `sample_rows` different training
+texts (chosen by a hash of the text, an equal share for each language; a text counts once, however often it is
+repeated), and more than `most_languages` values of lang are a ValueError: the two bounds here. The model has 64 KB for each
+language and goes to the workers as a broadcast.
 
 Defined cases: null text, or one without a letter, is `und` with score 0 and rejected. Without training rows
 everything is `und`. Rows with null doc_id or null lang are never trained on. Equal rows give equal results; ties
@@ -26,6 +28,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,15 +149,16 @@ def _cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 _COSINES_ARROW = pa.schema([("size", pa.int32()), ("step", pa.int32()), ("n", pa.int64())])
 
 
-def _cosines(batches: Iterator[pa.RecordBatch], model: Centroids) -> Iterator[pa.RecordBatch]:
+def _cosines(batches: Iterator[pa.RecordBatch], model: Broadcast[Centroids]) -> Iterator[pa.RecordBatch]:
     """Counts of texts by size class and by the step that their cosine falls in."""
+    nearest = model.value.nearest
     seen = np.zeros((_CLASSES, _STEPS), np.int64)
     for batch in batches:
         for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
             found = [counts for text in batch.column("text").slice(at, _ROWS_AT_ONCE).to_pylist() if (counts := gram_counts(text)) is not None]
             if found:
                 counts = np.array(found)
-                steps = np.minimum((model.nearest(counts)[1] * _STEPS).astype(np.int64), _STEPS - 1)
+                steps = np.minimum((nearest(counts)[1] * _STEPS).astype(np.int64), _STEPS - 1)
                 np.add.at(seen, (_size_class(counts.sum(axis=1)), steps), 1)
     rows = ((int(size), int(step), int(seen[size, step])) for size, step in np.argwhere(seen))
     return in_batches(rows, _COSINES_ARROW)
@@ -174,14 +178,16 @@ def _thresholds(seen: np.ndarray, enough: int = 20) -> np.ndarray:
     return np.array([known[max(k for k in known if k <= size)] if size >= first else known[first] * 2 ** ((size - first) / 2) for size in range(_CLASSES)])
 
 
-def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Centroids | None:
+def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048, most_languages: int = 512) -> Centroids | None:
     """Centroids from training_rows(docs); None without training rows.
 
     The driver holds the sample's vectors once, sample_rows * DIMS * 4 bytes, a row of statistics for each feature,
     one for each language, and one for each size class and step of the cosine that occur.
     """
     training = training_rows(docs)
-    stats = training.select("text", "lang").transform(map_arrow, _statistics, "lang string, feature int, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")).collect()
+    stats = training.select("text", "lang").transform(map_arrow, _statistics, "lang string, feature int, n bigint").groupBy("lang", "feature").agg(F.sum("n").alias("n")).take(DIMS + most_languages + 1)
+    if sum(row.feature < 0 for row in stats) > most_languages or len(stats) > DIMS + most_languages:
+        raise ValueError(f"lang has more than {most_languages} values")
     rows_of = {row.lang: row.n for row in stats if row.feature < 0}
     if not rows_of:
         return None
@@ -193,8 +199,8 @@ def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Cent
 
     share = sample_rows / len(rows_of)
     chance = F.create_map(*(F.lit(x) for lang, n in sorted(rows_of.items()) for x in (lang, min(1.0, share / n))))
-    draw = F.xxhash64("doc_id").bitwiseAND((1 << 52) - 1) / float(1 << 52)
-    drawn = training.where(draw < F.element_at(chance, F.col("lang")))
+    draw = F.xxhash64("text").bitwiseAND((1 << 52) - 1) / float(1 << 52)
+    drawn = training.where(draw < F.element_at(chance, F.col("lang"))).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
     sample = drawn.transform(map_arrow, _sampled, "doc_id bigint, lang string, total bigint, features binary, weights binary").collect()
     sample.sort(key=lambda row: (row.lang, row.doc_id, row.total, row.features, row.weights))
     if not sample:
@@ -214,7 +220,7 @@ def fit(docs: DataFrame, per_language: int = 4, sample_rows: int = 2048) -> Cent
     matrix = np.concatenate(centroids).astype(np.float32)
     model = Centroids(names, matrix, idf, np.zeros(_CLASSES))
     seen = np.zeros((_CLASSES, _STEPS), np.int64)
-    for row in training.select("text").transform(map_arrow, partial(_cosines, model=model), "size int, step int, n bigint").groupBy("size", "step").agg(F.sum("n").alias("n")).collect():
+    for row in training.select("text").transform(map_arrow, partial(_cosines, model=docs.sparkSession.sparkContext.broadcast(model)), "size int, step int, n bigint").groupBy("size", "step").agg(F.sum("n").alias("n")).collect():
         seen[row["size"], row["step"]] = row["n"]
     return replace(model, thresholds=_thresholds(seen))
 
@@ -233,11 +239,11 @@ def _scored(texts: list[str | None], model: Centroids | None) -> list[tuple[str,
     return out
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], model: Centroids | None, names: tuple[str, str, str]) -> Iterator[pa.RecordBatch]:
+def _predicted(batches: Iterator[pa.RecordBatch], model: Broadcast[Centroids | None], names: tuple[str, str, str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
             part = batch.slice(at, _ROWS_AT_ONCE)
-            scored = _scored(part.column("text").to_pylist(), model)
+            scored = _scored(part.column("text").to_pylist(), model.value)
             columns = [pa.array(x, kind) for x, kind in zip(zip(*scored), (pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *names])
 
@@ -249,4 +255,5 @@ def predict(docs: DataFrame, model: Centroids | None, names: tuple[str, str, str
     """
     docs = docs.drop(*names)
     schema = ", ".join([*(f"`{field.name.replace('`', '``')}` {field.dataType.simpleString()}" for field in docs.schema), *(f"`{n}` {t}" for n, t in zip(names, ("string", "double", "boolean")))])
-    return docs.transform(map_arrow, partial(_predicted, model=model, names=names), schema)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.transform(map_arrow, partial(_predicted, model=sent, names=names), schema)
