@@ -50,6 +50,15 @@ def test_lines_edges(spark, edge_docs, edge_rows, empty_docs):
     assert lines.dedup(spark, empty_docs).collect() == []
 
 
+def test_names_of_columns_are_free(spark):
+    rows = [(k, "\n".join([prose(1, 60), prose(k + 10, 12)]), None) for k in range(4)]
+    own = ["__tm_d", "__tm_h", "__tm_gone", "gone", "left", "row", "d", "lines"]
+    docs = make_docs(spark, rows).selectExpr("*", *(f"'{name}' as `{name}_`" for name in own)).withColumnsRenamed({f"{name}_": name for name in own if name != "lines"})
+    for out in (lines.dedup(spark, docs), jaccard.keep_one(spark, docs), pii.redact(spark, docs)):
+        got = out.collect()
+        assert len(got) == 4 and all(r[name] == name for r in got for name in own if name != "lines") and set(docs.columns) <= set(out.columns)
+
+
 def test_lines_hot_line(spark):
     notice = prose(1, 60)
     rows = [(k, f"{prose(k + 10, 12)}\n{notice}", None) for k in range(60)] + [(100, "\n".join(["x y"] * 400), None)]

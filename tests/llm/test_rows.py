@@ -3,6 +3,7 @@
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 import zlib
 from collections import Counter
@@ -238,10 +239,46 @@ def test_audio_rows(spark, edge_docs, edge_rows, empty_docs):
     assert audio.read_media(audio.store_payloads(empty_docs)).collect() == []
 
 
+def slow_law(codec, byte):
+    """One sample by the companding rules, bit by bit."""
+    if codec == audio.MU_LAW:
+        code = ~byte & 255
+        size = ((code & 15) * 2 + 33) * 4 * 2 ** (code >> 4 & 7) - 132
+        return -size if code & 128 else size
+    code = byte ^ 0x55
+    segment, size = code >> 4 & 7, (code & 15) * 16 + 8
+    size = size if segment == 0 else (size + 256) * 2 ** (segment - 1)
+    return size if code & 128 else -size
+
+
+def slow_media(payload):
+    """The stored form and the feature of a payload: container, samples, resampling and figures in plain Python."""
+    codec = (audio.A_LAW, audio.MU_LAW, audio.IMA_ADPCM)[zlib.crc32(payload) % 3]
+    if codec == audio.IMA_ADPCM:
+        pcm = [x for at in range(0, len(payload), 64) for x in slow_adpcm(payload[at : at + 64])]
+        form = struct.pack("<HHIIHHHH", codec, 1, 8000, 8000 * 64 // 121, 64, 4, 2, 121)
+    else:
+        pcm = [slow_law(codec, byte) for byte in payload]
+        form = struct.pack("<HHIIHHH", codec, 1, 8000, 8000, 1, 8, 0)
+    chunks = b"fmt " + struct.pack("<I", len(form)) + form + b"fact" + struct.pack("<II", 4, len(pcm)) + b"data" + struct.pack("<I", len(payload)) + payload
+    media = b"RIFF" + struct.pack("<I", len(chunks) + 4) + b"WAVE" + chunks
+    padded, wide = [pcm[0]] * 3 + pcm + [pcm[-1]] * 4, []
+    for k, sample in enumerate(pcm):
+        between = sum(padded[k + j] * int(weight) >> 2 for j, weight in enumerate(audio._HALFWAY))
+        wide += [sample, max(-32768, min(32767, between + 4096 >> 13))]
+    loud = (sum(x * x for x in pcm) / len(pcm)) ** 0.5
+    crossings = sum((a < 0) != (b < 0) for a, b in zip(pcm, pcm[1:]))
+    name = {audio.A_LAW: "alaw", audio.MU_LAW: "mulaw", audio.IMA_ADPCM: "adpcm"}[codec]
+    return media, f"{name}:{len(pcm)}:{max(map(abs, pcm))}:{loud:.2f}:{crossings}:{zlib.crc32(struct.pack(f'<{len(wide)}h', *wide)):08x}"
+
+
 def test_audio_query(spark):
     docs = {r.doc_id: r.text.encode() for r in table(spark, "/root/testdata/sf0.001", "documents").collect()}
     for r in QUERIES["op6_telephony_audio"](spark, "/root/testdata/sf0.001").collect():
         raw = docs[r.doc_id]
+        if r.doc_id % 5 == 0:
+            media, feature = slow_media(raw + bytes(-len(raw) % 64 if raw else 64))
+            assert (r.media_bytes, r.media_sha256, r.feature) == (len(media), hashlib.sha256(media).hexdigest(), feature)
         payload = raw + bytes(-len(raw) % 64 if raw else 64)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
 
@@ -268,6 +305,7 @@ def test_chat_layouts(spark):
     df = spark.createDataFrame([(k, json.dumps(r)) for k, r, _ in records] + [(8, "not json"), (9, None)], "key bigint, record string")
     got = {r.key: chat.parse(r.formatted) if r.known else None for r in chat.format_records(df).collect()}
     assert got == {k: turns for k, _, turns in records} | {8: None, 9: None}
+    assert sorted((r.layout is None, r.n) for r in chat.unknown_layouts(chat.format_records(df)).collect()) == [(False, 1), (True, 2)]
 
 
 def brute_chat(rows):

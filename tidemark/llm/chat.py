@@ -155,6 +155,11 @@ def format_records(records: DataFrame, layouts: list[tuple[set[str], dict]] | No
     return records.select("key", "record").transform(map_arrow, partial(_format, known=mappings(layouts)), _OUT)
 
 
+def unknown_layouts(formatted: DataFrame) -> DataFrame:
+    """layout (null where the record is no JSON object) and n, the records that format_records() had no mapping for."""
+    return formatted.where(~F.col("known")).groupBy("layout").agg(F.count("*").alias("n"))
+
+
 def rows_to_records(turns: DataFrame) -> DataFrame:
     """key and record for conversations stored a turn a row (conv_id, turn, role, text), in order of turn, role and text.
 
@@ -194,7 +199,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Counts and digests of turns and loss text, from formatted text and mask alone; unknown layouts are left out."""
+    """Counts and digests of turns and loss text, from formatted text and mask alone; unknown layouts are left out and counted by unknown_layouts()."""
     return formatted.where("known").select("key", "formatted", "mask").transform(map_arrow, _digest, _BACK)
 
 

@@ -12,7 +12,8 @@ from weakref import WeakSet
 
 import pyarrow as pa
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of cells that a worker gathers before it hands a batch back to the JVM.
 BATCH_BYTES = 8 << 20
@@ -93,6 +94,17 @@ class Scratch:
                 fs.delete(hadoop, True)
 
 
+    def drop_all_but(self, *frames: DataFrame) -> None:
+        """Remove all other tables."""
+        kept = {id(df) for df in frames}
+        self.drop(*(df for key, (df, _) in list(self._paths.items()) if key not in kept))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of docs in one, `row`, beside which any names are free."""
+    return F.struct(*(F.col(f"`{name.replace('`', '``')}`") for name in docs.columns)).alias("row")
+
+
 def in_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows to Arrow batches of about BATCH_BYTES of strings and bytes."""
     held: list[tuple] = []

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, apart, cells, in_batches, map_arrow
+from tidemark.llm.common import Scratch, apart, cells, in_batches, map_arrow, whole_row
 from tidemark.llm.components import components
 
 SHINGLE = 5
@@ -430,9 +430,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, threshold_tenths: int = 8, to
     linked = _linked(spark, docs, threshold_tenths, tolerance)
     alone = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("h").cast("string")).cast("binary")
     kept = linked.groupBy(F.coalesce("class", alone).alias("class")).agg(F.min(F.struct("doc_id", "h")).alias("doc"))
-    kept = kept.select(F.coalesce("doc.doc_id", F.lit(-(1 << 63))).alias("__tm_d"), F.col("doc.h").alias("__tm_h"))
-    keyed = docs.withColumns({"__tm_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__tm_h": F.xxhash64("text")})
-    return keyed.join(kept, ["__tm_d", "__tm_h"], "left_semi").dropDuplicates(["__tm_d", "__tm_h"]).select(*docs.columns)
+    kept = kept.select(F.coalesce("doc.doc_id", F.lit(-(1 << 63))).alias("d"), F.col("doc.h").alias("h"))
+    keyed = docs.select(whole_row(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64("text").alias("h"))
+    return keyed.join(kept, ["d", "h"], "left_semi").dropDuplicates(["d", "h"]).select("row.*")
 
 
 def oracle_sql(threshold_tenths: int = 8) -> str:

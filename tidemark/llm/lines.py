@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, apart
+from tidemark.llm.common import Scratch, apart, whole_row
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _FIRST = -(1 << 63)
@@ -108,22 +108,24 @@ def later_copies(scratch: Scratch, ranks: list[DataFrame], min_words: int) -> Da
 def dedup(spark: SparkSession, docs: DataFrame, min_words: int = 50) -> DataFrame:
     """docs without later copies of repeated runs, with __tm_lines and __tm_removed: lines before, and removed.
 
-    A text that loses all its lines becomes empty. Other columns stay as they are.
+    A text that loses all its lines becomes empty. Other columns stay as they are; two of the names above give way.
     """
+    docs = docs.drop("__tm_lines", "__tm_removed")
     scratch = Scratch(spark)
     lines = scratch.keep(line_table(docs))
     ranks = suffix_ranks(scratch, lines, min_words)
     copies = later_copies(scratch, ranks, min_words)
     numbers = F.explode(F.sequence(F.col("i"), (F.col("i") + F.col("n") - 1).cast("int")))
-    removed = scratch.keep(copies.select(*_DOC, numbers.alias("i")).groupBy(*_DOC).agg(F.collect_set("i").alias("__tm_gone")))
-    scratch.drop(lines)
+    removed = scratch.keep(copies.select(*_DOC, numbers.alias("i")).groupBy(*_DOC).agg(F.collect_set("i").alias("gone")))
+    scratch.drop_all_but(removed)
     # The texts meet their removed lines by sorting at every size, so the plan doesn't depend on an estimate.
-    out = _document_key(docs).join(removed.hint("merge"), _DOC, "left").withColumn("__tm_lines", F.split("text", "\n"))
-    out = out.withColumn("__tm_left", F.when(F.col("__tm_gone").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("__tm_lines") - 1), "__tm_gone")))
-    rest = F.array_join(F.transform("__tm_left", lambda k: F.get("__tm_lines", k)), "\n")
-    out = out.withColumns({"text": F.when(F.col("__tm_left").isNotNull(), rest).otherwise(F.col("text"))})
-    out = out.withColumns({"__tm_removed": F.coalesce(F.size("__tm_gone"), F.lit(0)).cast("long"), "__tm_lines": F.coalesce(F.size("__tm_lines"), F.lit(0)).cast("long")})
-    return out.select(*docs.columns, "__tm_lines", "__tm_removed")
+    keyed = _document_key(docs.select(whole_row(docs), "doc_id", "text"))
+    out = keyed.join(removed.hint("merge"), _DOC, "left").withColumn("lines", F.split("text", "\n"))
+    out = out.withColumn("left", F.when(F.col("gone").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")))
+    rest = F.array_join(F.transform("left", lambda k: F.get("lines", k)), "\n")
+    text = F.when(F.col("left").isNotNull(), rest).otherwise(F.col("text"))
+    counts = (F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("__tm_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("__tm_removed"))
+    return out.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns), *counts)
 
 
 def oracle_sql(min_words: int = 50) -> str:

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, whole_row
 from tidemark.llm.spans import MARK, plain, with_spans
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -311,7 +311,7 @@ def redact(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFram
     The rows are kept once, as they are and with their candidates; the weights are fitted on these and applied to them,
     so no key is needed, repeated or null ids don't matter, and no pattern goes over a text twice.
     """
-    picked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("body"))
+    picked = docs.select(whole_row(docs), F.col(text).alias("body"))
     stored = Scratch(spark).keep(with_candidates(picked, "body", "found").select("row", "found"))
     found = F.array_sort(F.transform(accepted("found", fit(stored, "found")), lambda c: F.struct(c["start"], c["stop"], c["kind"])))
     out = stored.select("row", F.col("row")[text].alias("body"), found.alias("spans"))
