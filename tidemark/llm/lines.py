@@ -119,7 +119,7 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = 50) -> DataFram
     removed = scratch.keep(copies.select(*_DOC, numbers.alias("i")).groupBy(*_DOC).agg(F.collect_set("i").alias("gone")))
     scratch.drop_all_but(removed)
     # The texts meet their removed lines by sorting at every size, so the plan doesn't depend on an estimate.
-    keyed = _document_key(docs.select(whole_row(docs), "doc_id", "text"))
+    keyed = _document_key(docs.select(whole_row(docs.drop("text")), "doc_id", "text")).drop("doc_id")
     out = keyed.join(removed.hint("merge"), _DOC, "left").withColumn("lines", F.split("text", "\n"))
     out = out.withColumn("left", F.when(F.col("gone").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")))
     rest = F.array_join(F.transform("left", lambda k: F.get("lines", k)), "\n")
