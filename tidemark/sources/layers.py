@@ -9,6 +9,9 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists in whatever file system it names."""
@@ -41,10 +44,6 @@ def from_rows(spark: SparkSession, rows: list, schema: StructType | str) -> Data
     return spark.createDataFrame(rows, schema)
 
 
-if TYPE_CHECKING:
-    import pandas as pd
-
-
 def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: StructType | str | None = None) -> DataFrame:
     """A frame that the driver already holds, sent through Arrow; its missing values become NULL."""
     return spark.createDataFrame(frame.astype(object).where(frame.notna(), None) if schema else frame, schema)
